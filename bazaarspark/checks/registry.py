@@ -6,7 +6,7 @@ import importlib
 
 from bazaarspark.checks.framework import Check
 
-MODULES = ("marts",)
+MODULES = ("marts", "declared")
 
 
 def checks() -> dict[str, Check]:
