@@ -6,7 +6,7 @@ import importlib
 
 from bazaarspark.checks.framework import Check
 
-MODULES = ("marts", "declared")
+MODULES = ("marts", "declared", "payloads")
 
 
 def checks() -> dict[str, Check]:

@@ -80,15 +80,17 @@ def page_items(pages: DataFrame, body: str, path: tuple[str, ...], keep: tuple[s
     )
 
 
-def stitch_details(orders: DataFrame, details: DataFrame, key: str, item: str, name: str = "items") -> DataFrame:
+def stitch_details(
+    orders: DataFrame, details: DataFrame, order_key: str, detail_key: str, item: str, name: str = "items"
+) -> DataFrame:
     """Attach the item rows of each order as an array; an order without items gets an empty one.
 
     The array is ordered by content, so reruns agree. Its size is bounded by what one order can hold.
     """
-    lists = details.groupBy(F.col(key).alias("_key")).agg(F.sort_array(F.collect_list(item)).alias(name))
+    lists = details.groupBy(F.col(detail_key).alias("_key")).agg(F.sort_array(F.collect_list(item)).alias(name))
     empty = F.array().cast(T.ArrayType(details.schema[item].dataType))
     return (
-        orders.join(lists, F.col(key) == F.col("_key"), "left")
+        orders.join(lists, F.col(order_key) == F.col("_key"), "left")
         .withColumn(name, F.coalesce(F.col(name), empty))
         .drop("_key")
     )
