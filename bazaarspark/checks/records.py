@@ -39,7 +39,10 @@ def priced_orders(s: Staging) -> DataFrame:
     return stitch_details(orders, line, "o_orderkey", "l_orderkey", "line", "lines")
 
 
-KEY = F.col("o_orderkey")
+def key() -> Column:
+    return F.col("o_orderkey")
+
+
 STATES = {
     "shopee": {"F": "COMPLETED", "O": "UNPAID", "P": "CANCELLED"},
     "lazada": {"F": "delivered", "O": "pending", "P": "cancelled"},
@@ -59,7 +62,7 @@ def lines(build) -> Column:
 def shopee_payload() -> Column:
     return json(
         # Without a number the record cannot be identified: it becomes a dead letter.
-        order_sn=F.when(KEY % 11 != 0, text(KEY)),
+        order_sn=F.when(key() % 11 != 0, text(key())),
         order_status=state("shopee"),
         buyer_user_id=F.col("o_custkey"),
         create_time=F.unix_timestamp("placed"),
@@ -67,12 +70,12 @@ def shopee_payload() -> Column:
         total_amount=F.col("o_totalprice"),
         actual_shipping_fee=(F.col("o_custkey") % 3).cast("double"),
         estimated_shipping_fee=F.lit(7.5),
-        seller_discount=(KEY % 3).cast("double"),
+        seller_discount=(key() % 3).cast("double"),
         voucher_seller=F.lit(2.5),
-        currency=F.when(KEY % 4 == 0, "USD").when(KEY % 4 == 1, "THB"),
+        currency=F.when(key() % 4 == 0, "USD").when(key() % 4 == 1, "THB"),
         recipient_address=F.struct(
             F.concat(F.lit("Buyer "), text("o_custkey")).alias("name"),
-            F.when(KEY % 2 == 0, F.concat(text("o_custkey"), F.lit(" Main St"))).otherwise("").alias("full_address"),
+            F.when(key() % 2 == 0, F.concat(text("o_custkey"), F.lit(" Main St"))).otherwise("").alias("full_address"),
             F.lit("Bangkok").alias("city"),
         ),
         item_list=lines(
@@ -90,16 +93,16 @@ def shopee_payload() -> Column:
 
 def lazada_payload() -> Column:
     return json(
-        order_id=KEY,
+        order_id=key(),
         statuses=F.array(state("lazada")),
         buyer_id=F.col("o_custkey"),
         customer_first_name=F.concat(F.lit("C"), text("o_custkey")),
         created_at=iso(F.col("placed")),
         updated_at=iso(F.col("placed") + F.expr("interval 1 day")),
-        price=F.when(KEY % 5 == 0, 0.0).when(KEY % 5 != 1, F.col("o_totalprice")),
+        price=F.when(key() % 5 == 0, 0.0).when(key() % 5 != 1, F.col("o_totalprice")),
         shipping_fee=(F.col("o_custkey") % 50).cast("double"),
         voucher_seller=F.lit(5.0),
-        voucher_platform=F.when(KEY % 2 == 0, 2.0),
+        voucher_platform=F.when(key() % 2 == 0, 2.0),
         address_shipping=F.struct(F.lit("1 Second St").alias("address1"), F.lit("11000").alias("post_code")),
         order_items=lines(
             lambda i: {
@@ -118,10 +121,10 @@ def lazada_payload() -> Column:
 def tiktok_payload() -> Column:
     return json(
         # Both generations of field names.
-        order_id=F.when(KEY % 2 == 0, text(KEY)),
-        id=F.when(KEY % 2 == 1, text(KEY)),
-        order_status=F.when(KEY % 2 == 0, state("tiktok_shop")),
-        status=F.when(KEY % 2 == 1, state("tiktok_shop")),
+        order_id=F.when(key() % 2 == 0, text(key())),
+        id=F.when(key() % 2 == 1, text(key())),
+        order_status=F.when(key() % 2 == 0, state("tiktok_shop")),
+        status=F.when(key() % 2 == 1, state("tiktok_shop")),
         buyer_uid=F.concat(F.lit("u"), text("o_custkey")),
         create_time=F.unix_timestamp("placed"),
         payment_info=F.struct(
@@ -129,8 +132,8 @@ def tiktok_payload() -> Column:
             F.lit("0").alias("shipping_fee"),
             F.lit(40.0).alias("original_shipping_fee"),
             F.lit("10").alias("seller_discount"),
-            (KEY % 3).alias("platform_discount"),
-            F.when(KEY % 4 == 0, 0).otherwise(F.floor("o_totalprice") + 1).alias("total_amount"),
+            (key() % 3).alias("platform_discount"),
+            F.when(key() % 4 == 0, 0).otherwise(F.floor("o_totalprice") + 1).alias("total_amount"),
             F.lit("THB").alias("currency"),
         ),
         line_items=lines(
@@ -161,7 +164,7 @@ def landed_orders(s: Staging, named: bool = True) -> DataFrame:
         extracted_at=F.lit("2001-08-01T00:00:00Z"),
     )
     whole = priced_orders(s).withColumn("payload", payload).select("o_orderkey", wrapped.alias("value"))
-    cut = F.when(KEY % 13 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
+    cut = F.when(key() % 13 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
     return from_text(whole.select(cut.alias("value")))
 
 
@@ -286,19 +289,19 @@ def landed_web(s: Staging) -> DataFrame:
 def landed_products(s: Staging) -> DataFrame:
     """Product records of the three shops, each landed twice on different days."""
     shop = F.col("platform")
-    key, price = F.col("platform_product_id"), F.col("unit_price") + F.col("copy")
+    number, price = F.col("platform_product_id"), F.col("unit_price") + F.col("copy")
     payload = (
         F.when(
             shop == "shopee",
-            json(item_id=key, item_name=F.col("name"), item_sku=F.col("sku"), item_price=price + 50, model_discounted_price=price,
+            json(item_id=number, item_name=F.col("name"), item_sku=F.col("sku"), item_price=price + 50, model_discounted_price=price,
                  category_path=F.col("category"), brand=F.col("brand")),
         )
         .when(
             shop == "lazada",
-            json(item_id=key, name=F.col("name"), seller_sku=F.col("sku"), item_price=price, category=F.col("category"), brand=F.col("brand")),
+            json(item_id=number, name=F.col("name"), seller_sku=F.col("sku"), item_price=price, category=F.col("category"), brand=F.col("brand")),
         )
         .otherwise(
-            json(id=key, title=F.col("name"), sku_id=F.col("sku"), sku_sale_price=price, category_name=F.col("category"), brand_name=F.col("brand"))
+            json(id=number, title=F.col("name"), sku_id=F.col("sku"), sku_sale_price=price, category_name=F.col("category"), brand_name=F.col("brand"))
         )
     )
     copies = s.products.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))

@@ -1,71 +1,91 @@
 """Values inside landed payloads.
 
-Fields whose type varies between sources are read as VARIANT, so that a number, the same number as text,
-an explicit null and a missing key stay distinguishable. A value "counts" when it is neither missing nor
-null, zero, false or the empty text; a text "0" counts.
+Fields whose type varies between sources are declared VARIANT in the payload schemas, so that a number,
+the same number as text, an explicit null and a missing key stay distinguishable. `tokens` turns them into
+their JSON text once per record; everything else here works on such tokens. A value "counts" when it is
+neither missing nor null, zero, false or the empty text; a text "0" counts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarspark.functions.scalars import as_double, as_long, col
 
 
-def text(v) -> Column:
-    return F.try_variant_get(col(v), "$", "string")
+def tokens(parsed: Column, schema: str | T.StructType) -> Column:
+    """The parsed struct with every VARIANT field as its JSON text, nested structs and lists included."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
+    def convert(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.VariantType):
+            return F.to_json(c)
+        if isinstance(kind, T.StructType):
+            return F.struct(*[convert(c[f.name], f.dataType).alias(f.name) for f in kind])
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return F.transform(c, lambda x: convert(x, kind.elementType))
+        return c
 
-def number(v) -> Column:
-    return as_double(text(v))
+    return F.when(parsed.isNotNull(), convert(parsed, fields))
 
 
-def whole(v) -> Column:
-    return as_long(text(v))
+def quoted(t) -> Column:
+    return col(t).startswith('"')
 
 
-def counts(v) -> Column:
+def text(t) -> Column:
+    """Text of a scalar token; NULL for null."""
+    t = col(t)
+    return F.when(quoted(t), F.btrim(t, F.lit('"'))).otherwise(F.nullif(t, F.lit("null")))
+
+
+def number(t) -> Column:
+    return as_double(F.btrim(col(t), F.lit('"')))
+
+
+def whole(t) -> Column:
+    return as_long(F.btrim(col(t), F.lit('"')))
+
+
+def counts(t) -> Column:
     """Whether a chain of alternatives stops at this value."""
-    v = col(v)
-    kind = F.schema_of_variant(v)
+    t = col(t)
     return F.coalesce(
-        F.when(kind == "VOID", F.lit(False))
-        .when(kind == "STRING", text(v) != "")
-        .when(kind == "BOOLEAN", text(v) == "true")
-        .otherwise(text(v).try_cast("double") != 0.0),
+        F.when(quoted(t), t != '""').when(t == "true", F.lit(True)).otherwise(t.try_cast("double") != 0.0),
         F.lit(False),
     )
 
 
-def first_counting(*vs) -> Column:
+def first_counting(*ts) -> Column:
     """First value that counts; the last one stands when none does."""
-    *head, last = [col(v) for v in vs]
-    return F.coalesce(*[F.when(counts(v), v) for v in head], last)
+    *head, last = [col(t) for t in ts]
+    return F.coalesce(*[F.when(counts(t), t) for t in head], last)
 
 
-def first_number(*vs, default: float | None = 0.0) -> Column:
-    found = number(first_counting(*vs))
+def first_number(*ts, default: float | None = 0.0) -> Column:
+    found = number(first_counting(*ts))
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
-def first_whole(*vs, default: int | None = 0) -> Column:
-    found = whole(first_counting(*vs))
+def first_whole(*ts, default: int | None = 0) -> Column:
+    found = whole(first_counting(*ts))
     return found if default is None else F.coalesce(found, F.lit(default).cast("long"))
 
 
-def optional_number(v) -> Column:
+def optional_number(t) -> Column:
     """Number if the value counts, else NULL."""
-    return F.when(counts(v), number(v))
+    return F.when(counts(t), number(t))
 
 
-def optional_whole(v) -> Column:
-    return F.when(counts(v), whole(v))
+def optional_whole(t) -> Column:
+    return F.when(counts(t), whole(t))
 
 
-def unreadable(*vs) -> Column:
+def unreadable(*ts) -> Column:
     """Whether any value counts but is not a number."""
     bad = F.lit(False)
-    for v in vs:
-        bad = bad | (counts(v) & number(v).isNull())
+    for t in ts:
+        bad = bad | (counts(t) & number(t).isNull())
     return bad

@@ -40,7 +40,7 @@ def first_number(*cols) -> Column:
 
 def as_double(c) -> Column:
     """Text to double, thousands separators allowed; NULL when it is not a number."""
-    return F.regexp_replace(col(c), ",", "").try_cast("double")
+    return F.replace(col(c), F.lit(","), F.lit("")).try_cast("double")
 
 
 def as_long(c) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bazaarspark.functions import fixed_values as fixed
 from bazaarspark.functions.dates import parse_instant
 from bazaarspark.functions.money import to_home, to_home_usd_only
-from bazaarspark.functions.payload import counts, first_counting, first_number, first_whole, text, unreadable
+from bazaarspark.functions.payload import counts, first_number, first_whole, number, tokens, unreadable
 from bazaarspark.functions.scalars import first_text, join_parts, map_text
 from bazaarspark.operators.once import computed_once
 from bazaarspark.operators.quality import Split, problem, split
@@ -35,7 +35,7 @@ LAZADA_ITEM = (
     " voucher_platform: variant, variation: string, weight: variant"
 )
 LAZADA = (
-    "order_id string, order_number string, statuses variant, status string, customer_id string, buyer_id string,"
+    "order_id string, order_number string, statuses string, status string, customer_id string, buyer_id string,"
     " customer_first_name string, customer_last_name string, created_at string, payment_method_paid_date string,"
     " shipped_at string, updated_at string, price variant, shipping_fee variant, voucher_seller variant,"
     " voucher_platform variant, currency string, shipping_provider string, tracking_code string, extracted_at string,"
@@ -98,7 +98,7 @@ def order_platform(platform, payload, lenient: bool = False) -> Column:
 def _list(item: str, *arrays: str) -> Column:
     """First non-empty array, else an empty one."""
     cols = [F.col(a) for a in arrays]
-    return F.coalesce(*[F.when(F.size(c) > 0, c) for c in cols], F.from_json(F.lit("[]"), f"array<struct<{item}>>"))
+    return F.coalesce(*[F.when(F.size(c) > 0, c) for c in cols], F.from_json(F.lit("[]"), f"array<struct<{item.replace('variant', 'string')}>>"))
 
 
 def _item(platform: str, **values: Column) -> Column:
@@ -131,7 +131,7 @@ def _shopee_item(i: Column) -> Column:
         unit_price=first_number(i["model_discounted_price"], i["item_price"]),
         discount=F.lit(0.0),
         variation=i["model_name"],
-        weight=F.try_variant_get(i["weight"], "$", "double"),
+        weight=number(i["weight"]),
         unreadable=unreadable(i["model_quantity_purchased"], i["model_discounted_price"]),
     )
 
@@ -147,7 +147,7 @@ def _lazada_item(i: Column) -> Column:
         unit_price=first_number(i["item_price"], i["paid_price"]),
         discount=first_number(i["voucher_seller"]) + first_number(i["voucher_platform"]),
         variation=i["variation"],
-        weight=F.try_variant_get(i["weight"], "$", "double"),
+        weight=number(i["weight"]),
         unreadable=unreadable(i["quantity"], i["item_price"], i["voucher_seller"], i["voucher_platform"]),
     )
 
@@ -163,7 +163,7 @@ def _tiktok_item(i: Column) -> Column:
         unit_price=first_number(i["sale_price"], i["sku_sale_price"]),
         discount=first_number(i["platform_discount"]) + first_number(i["seller_discount"]),
         variation=i["sku_name"],
-        weight=F.try_variant_get(i["weight"], "$", "double"),
+        weight=number(i["weight"]),
         unreadable=unreadable(i["quantity"], i["sale_price"], i["platform_discount"], i["seller_discount"]),
     )
 
@@ -177,7 +177,7 @@ def _order(problem_column: Column, **values: Column) -> Column:
 def _shopee(fix_discount: bool) -> Column:
     p = lambda name: F.col(f"_shopee.{name}")
     address = lambda name: p(f"recipient_address.{name}")
-    number = first_text(p("order_sn"), p("ordersn"))
+    order_number = first_text(p("order_sn"), p("ordersn"))
     voucher = first_number(p("voucher_seller"))
     seller = first_number(p("seller_discount"))
     # Published rule: the voucher only counts when the seller gave no discount of its own.
@@ -185,7 +185,7 @@ def _shopee(fix_discount: bool) -> Column:
     ordered = parse_instant(p("create_time"))
     return _order(
         problem(
-            (number.isNull(), "MappingError", "Missing order_sn"),
+            (order_number.isNull(), "MappingError", "Missing order_sn"),
             (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
             (
                 unreadable(*[p(c) for c in ("total_amount", "actual_shipping_fee", "seller_discount", "voucher_seller")]),
@@ -194,9 +194,9 @@ def _shopee(fix_discount: bool) -> Column:
             ),
             (F.exists("_shopee_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
         ),
-        order_id=F.concat(F.lit("shopee_"), number),
+        order_id=F.concat(F.lit("shopee_"), order_number),
         platform=F.lit("shopee"),
-        platform_order_id=number,
+        platform_order_id=order_number,
         customer_id=F.coalesce(p("buyer_user_id"), F.lit("")),
         customer_name=first_text(p("buyer_username"), address("name")),
         customer_phone=address("phone"),
@@ -220,10 +220,9 @@ def _shopee(fix_discount: bool) -> Column:
 
 def _lazada() -> Column:
     p = lambda name: F.col(f"_lazada.{name}")
-    number = first_text(p("order_id"), p("order_number"))
-    states = text(p("statuses"))
-    is_list = F.schema_of_variant(p("statuses")).startswith("ARRAY")
-    first_state = F.try_variant_get(p("statuses"), "$[0]", "string")
+    order_number = first_text(p("order_id"), p("order_number"))
+    is_list = p("statuses").startswith("[")
+    first_state = F.get("_states", F.lit(0))
     of_items = F.aggregate("_lazada_items", F.lit(0.0), lambda total, i: total + i["total_price"])
     price = p("price")
     subtotal = F.when(counts(price), first_number(price)).otherwise(of_items)
@@ -236,7 +235,7 @@ def _lazada() -> Column:
     name = F.trim(F.concat_ws(" ", p("customer_first_name"), p("customer_last_name")))
     return _order(
         problem(
-            (number.isNull(), "MappingError", "Missing order_id"),
+            (order_number.isNull(), "MappingError", "Missing order_id"),
             (F.coalesce(is_list, F.lit(False)) & first_state.isNull(), "IndexError", "statuses is empty"),
             (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
             (
@@ -246,9 +245,9 @@ def _lazada() -> Column:
             ),
             (F.exists("_lazada_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
         ),
-        order_id=F.concat(F.lit("lazada_"), number),
+        order_id=F.concat(F.lit("lazada_"), order_number),
         platform=F.lit("lazada"),
-        platform_order_id=number,
+        platform_order_id=order_number,
         customer_id=F.coalesce(first_text(p("customer_id"), p("buyer_id")), F.lit("")),
         customer_name=F.nullif(name, F.lit("")),
         customer_phone=F.when(is_address, address["phone"]),
@@ -256,7 +255,7 @@ def _lazada() -> Column:
         order_date=ordered,
         paid_date=parse_instant(p("payment_method_paid_date")),
         shipped_date=parse_instant(p("shipped_at")),
-        completed_date=F.when(F.lower(states).contains("delivered"), parse_instant(p("updated_at"))),
+        completed_date=F.when(F.lower(p("statuses")).contains("delivered"), parse_instant(p("updated_at"))),
         subtotal=subtotal,
         shipping_fee=shipping,
         discount=discount,
@@ -277,7 +276,7 @@ def _tiktok() -> Column:
     paid = lambda name: p(f"payment_info.{name}")
     address = lambda name: p(f"recipient_address.{name}")
     # Two generations of the order payload name the id and the state differently.
-    number = first_text(p("order_id"), p("id"))
+    order_number = first_text(p("order_id"), p("id"))
     state = first_text(p("order_status"), p("status"))
     subtotal = first_number(paid("sub_total"), paid("original_total_product_price"))
     shipping = first_number(paid("shipping_fee"), paid("original_shipping_fee"))
@@ -287,14 +286,14 @@ def _tiktok() -> Column:
     amounts = ("sub_total", "shipping_fee", "seller_discount", "platform_discount", "total_amount")
     return _order(
         problem(
-            (number.isNull(), "MappingError", "Missing order_id"),
+            (order_number.isNull(), "MappingError", "Missing order_id"),
             (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
             (unreadable(*[paid(c) for c in amounts]), "ValidationError", "an amount is not a number"),
             (F.exists("_tiktok_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
         ),
-        order_id=F.concat(F.lit("tiktok_"), number),
+        order_id=F.concat(F.lit("tiktok_"), order_number),
         platform=F.lit("tiktok_shop"),
-        platform_order_id=number,
+        platform_order_id=order_number,
         customer_id=F.coalesce(p("buyer_uid"), F.lit("")),
         customer_name=first_text(address("full_name"), address("name")),
         customer_phone=first_text(address("phone_number"), address("phone")),
@@ -335,6 +334,7 @@ def normalize_orders(
     """
     at = F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
     shop = F.col("_shop")
+    kept = ["record", "malformed", "extracted_at", "_shop"]
     parsed = computed_once(
         raw.withColumn("_shop", order_platform("platform", F.col("payload"))),
         {
@@ -342,11 +342,21 @@ def normalize_orders(
             "_lazada": F.when(shop == "lazada", F.from_json("payload", LAZADA)),
             "_tiktok": F.when(shop == "tiktok_shop", F.from_json("payload", TIKTOK)),
         },
-        keep=["record", "malformed", "extracted_at", "_shop"],
+        keep=kept,
     )
     parsed = computed_once(
         parsed,
         {
+            "_shopee": tokens(F.col("_shopee"), SHOPEE),
+            "_lazada": tokens(F.col("_lazada"), LAZADA),
+            "_tiktok": tokens(F.col("_tiktok"), TIKTOK),
+        },
+        keep=kept,
+    )
+    parsed = computed_once(
+        parsed,
+        {
+            "_states": F.from_json("_lazada.statuses", "array<string>"),
             "_address": F.from_json("_lazada.address_shipping", LAZADA_ADDRESS),
             "_shopee_items": F.transform(_list(SHOPEE_ITEM, "_shopee.item_list", "_shopee.items"), _shopee_item),
             "_lazada_items": F.transform(_list(LAZADA_ITEM, "_lazada.order_items", "_lazada.items"), _lazada_item),
@@ -356,7 +366,7 @@ def normalize_orders(
     order = F.when(shop == "shopee", _shopee(fix_discount)).when(shop == "lazada", _lazada()).when(
         shop == "tiktok_shop", _tiktok()
     )
-    mapped = computed_once(parsed, {"_o": order}, keep=["record", "malformed", "extracted_at", "_shop"])
+    mapped = computed_once(parsed, {"_o": order}, keep=kept)
     raw_currency = F.coalesce(F.nullif("_o.currency_raw", F.lit("")), F.lit(fixed.HOME_CURRENCY))
     money = to_home_usd_only if compatible_currency else to_home
     status = F.lit("unknown")
