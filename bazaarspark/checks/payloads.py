@@ -312,7 +312,7 @@ FROM (SELECT *, CASE WHEN l_partkey % 2 = 0 THEN number END AS campaign FROM ({A
         " screen_page_views returning_users; r bounce_rate; m avg_session_duration session_duration_total",
         lambda s: normalize_web(records.landed_web(s), RUN_AT).sessions,
         using("stg_ga4_sessions")
-        + """SELECT *, shown_medium AS medium, 0 AS screen_page_views, greatest(0, total_users - new_users) AS returning_users,
+        + """SELECT * EXCLUDE (channel_grouping), shown_medium AS medium, 0 AS screen_page_views, greatest(0, total_users - new_users) AS returning_users,
   avg_session_duration * sessions AS session_duration_total,
   CASE WHEN shown_medium IS NULL AND source IN ('facebook', 'tiktok') THEN 'Social'
     WHEN shown_medium IS NULL AND source <> '(direct)' THEN 'Other' WHEN shown_medium IS NULL THEN 'Direct' ELSE channel_grouping END
@@ -417,7 +417,7 @@ WHERE p.platform = c.platform AND p.sku = c.platform_sku AND NOT p.is_active)"""
             labels.suggested_master_sku(F.lit(""), F.lit(None).cast("string")).alias("nothing"),
         ),
         """SELECT p_partkey, 'AB-' || p_partkey AS from_sku,
-  upper(array_to_string(list_transform(list_slice(string_split(p_name, ' '), 1, 3), w -> substr(w, 1, 2)), '')) || '-'
+  upper(array_to_string(list_transform(list_slice(string_split(p_name, ' '), 1, 3), lambda w: substr(w, 1, 2)), '')) || '-'
     || upper(substr('item' || p_partkey, 1, 8)) AS from_name, 'UNKNOWN' AS nothing FROM part""",
     ),
     Check(

@@ -163,7 +163,7 @@ def landed_orders(s: Staging, named: bool = True) -> DataFrame:
         platform=name if named else F.lit(None).cast("string"),
         extracted_at=F.lit("2001-08-01T00:00:00Z"),
     )
-    whole = priced_orders(s).withColumn("payload", payload).select("o_orderkey", wrapped.alias("value"))
+    whole = s.spread(priced_orders(s), "o_orderkey").withColumn("payload", payload).select("o_orderkey", wrapped.alias("value"))
     cut = F.when(key() % 13 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
     return from_text(whole.select(cut.alias("value")))
 
@@ -240,7 +240,7 @@ def landed_ads(s: Staging) -> DataFrame:
     kind = F.pmod(sup, F.lit(6))
     value = F.when(kind == 0, facebook).when(kind == 1, google).when(kind == 2, tiktok).otherwise(flat)
     rows = s.table("lineitem").where(F.to_date("l_shipdate") <= F.lit(AS_OF))
-    return from_text(rows.select(value.alias("value")))
+    return from_text(s.spread(rows, "l_orderkey").select(value.alias("value")))
 
 
 def landed_web(s: Staging) -> DataFrame:

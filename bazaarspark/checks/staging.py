@@ -40,6 +40,11 @@ class Staging:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows over all cores. The given tables are single files, which are read by a task or two; work
+        per record that follows (building and parsing payloads) would otherwise stay there."""
+        return df.repartition(self.spark.sparkContext.defaultParallelism, key)
+
     @functools.cached_property
     def order_keys(self) -> DataFrame:
         """Order key, shop platform, order id and date: what items take from their order."""

@@ -296,9 +296,25 @@ def product_sales_ranked(items: DataFrame, sku_map: DataFrame, as_of) -> DataFra
         F.max("high").alias("max_selling_price"),
     )
     priced = days.withColumn("avg_selling_price", ratio("gross_revenue", "units_sold"))
-    by_units = with_rank(priced, ["date"], "units_sold", "master_sku", "rank_by_units")
-    by_revenue = with_rank(by_units, ["date"], "net_revenue", "master_sku", "rank_by_revenue")
-    return with_share(by_revenue, "net_revenue", ["date"], "pct_of_total_revenue", 100.0)
+    shared = with_share(priced, "net_revenue", ["date"], "pct_of_total_revenue", 100.0)
+    # Both rankings in one pass: the two measures are stacked, ranked and laid side by side again.
+    stacked = shared.select(
+        "*",
+        F.inline(
+            F.array(
+                F.struct(F.lit("units").alias("measure"), F.col("units_sold").cast("double").alias("level")),
+                F.struct(F.lit("revenue").alias("measure"), F.col("net_revenue").alias("level")),
+            )
+        ),
+    )
+    ranked = with_rank(stacked, ["date", "measure"], "level", "master_sku", "position")
+    return ranked.groupBy("date", "master_sku").agg(
+        *[F.any_value(c).alias(c) for c in shared.columns if c not in ("date", "master_sku")],
+        *[
+            F.max(F.when(F.col("measure") == m, F.col("position"))).alias(f"rank_by_{m}")
+            for m in ("units", "revenue")
+        ],
+    )
 
 
 def unmapped_products(products: DataFrame, items: DataFrame, sku_map: DataFrame) -> DataFrame:
