@@ -54,20 +54,21 @@ def between_instants(c, as_of, newest: int | None, oldest: int) -> Column:
     return inside if newest is None else inside & ~since_instant(c, as_of, newest)
 
 
-def parse_instant(text) -> Column:
-    """Epoch seconds or an ISO text to a timestamp; a text without an offset is UTC. NULL if unreadable."""
-    text = F.trim(col(text))
-    epoch = text.rlike(r"^-?\d{9,}(\.\d+)?$")
-    offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & ~text.rlike(r"^\d{4}-\d{2}-\d{2}$")
-    day_only = text.rlike(r"^\d{4}-\d{2}-\d{2}$")
-    iso = (
-        F.when(offset, text)
-        .when(day_only, F.concat(text, F.lit("T00:00:00Z")))
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    return F.when(
-        epoch, F.timestamp_micros((text.try_cast("double") * 1_000_000).cast("long"))
-    ).otherwise(iso.try_cast("timestamp"))
+INSTANT = (
+    "case when trim({0}) rlike '^-?[0-9]{{9,}}([.][0-9]+)?$'"
+    " then timestamp_micros(cast(try_cast(trim({0}) as double) * 1000000 as bigint))"
+    " when trim({0}) rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' then try_cast(concat(trim({0}), 'T00:00:00Z') as timestamp)"
+    " when trim({0}) rlike '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$' then try_cast(trim({0}) as timestamp)"
+    " else try_cast(concat(trim({0}), 'Z') as timestamp) end"
+)
+
+
+def parse_instant(name: str) -> Column:
+    """Epoch seconds or an ISO text to a timestamp; a text without an offset is UTC. NULL if unreadable.
+
+    `name` is a column or field path, or SQL text of a string expression.
+    """
+    return F.expr(INSTANT.format(name))
 
 
 def local_day(ts, timezone: str = BANGKOK) -> Column:
@@ -75,11 +76,11 @@ def local_day(ts, timezone: str = BANGKOK) -> Column:
     return F.to_date(F.from_utc_timestamp(col(ts), timezone))
 
 
-def compact_day(text) -> Column:
+def compact_day(name: str) -> Column:
     """YYYYMMDD or ISO text to a date, NULL when it is neither."""
-    text = col(text)
+    text = F.expr(name)
     return F.when(F.length(text) == 8, F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date")).otherwise(
-        parse_instant(text).cast("date")
+        parse_instant(name).cast("date")
     )
 
 

@@ -2,8 +2,11 @@
 
 Fields whose type varies between sources are declared VARIANT in the payload schemas, so that a number,
 the same number as text, an explicit null and a missing key stay distinguishable. `tokens` turns them into
-their JSON text once per record; everything else here works on such tokens. A value "counts" when it is
-neither missing nor null, zero, false or the empty text; a text "0" counts.
+their JSON text once per record; everything else here works on such tokens, named by their path. A value
+"counts" when it is neither missing nor null, zero, false or the empty text; a text "0" counts.
+
+The expressions are put together as SQL text and handed to Spark whole: a payload has dozens of fields, and
+building them column by column costs thousands of calls into the JVM.
 """
 
 from __future__ import annotations
@@ -12,80 +15,90 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarspark.functions.scalars import as_double, as_long, col
 
+class Sql:
+    """SQL text of the functions below, for use inside larger expressions."""
 
-def tokens(parsed: Column, schema: str | T.StructType) -> Column:
-    """The parsed struct with every VARIANT field as its JSON text, nested structs and lists included."""
-    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    @staticmethod
+    def number(t: str) -> str:
+        return f"try_cast(replace(btrim({t}, '\"'), ',', '') as double)"
 
-    def convert(c: Column, kind: T.DataType) -> Column:
-        if isinstance(kind, T.VariantType):
-            return F.to_json(c)
-        if isinstance(kind, T.StructType):
-            return F.struct(*[convert(c[f.name], f.dataType).alias(f.name) for f in kind])
-        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-            return F.transform(c, lambda x: convert(x, kind.elementType))
-        return c
+    @staticmethod
+    def whole(t: str) -> str:
+        n = Sql.number(t)
+        return f"cast(case when isnan({n}) or abs({n}) > 9e18 then null else {n} end as bigint)"
+
+    @staticmethod
+    def counts(t: str) -> str:
+        return (
+            f"coalesce(case when startswith({t}, '\"') then {t} <> '\"\"' when {t} = 'true' then true"
+            f" else try_cast({t} as double) <> 0D end, false)"
+        )
 
-    return F.when(parsed.isNotNull(), convert(parsed, fields))
+    @staticmethod
+    def first(*ts: str) -> str:
+        *head, last = ts
+        return f"coalesce({', '.join([*(f'case when {Sql.counts(t)} then {t} end' for t in head), last])})"
 
+    @staticmethod
+    def first_number(*ts: str, default: str = "0D") -> str:
+        return f"coalesce({Sql.number(Sql.first(*ts))}, {default})"
 
-def quoted(t) -> Column:
-    return col(t).startswith('"')
+    @staticmethod
+    def first_whole(*ts: str, default: str = "0L") -> str:
+        return f"coalesce({Sql.whole(Sql.first(*ts))}, {default})"
 
+    @staticmethod
+    def first_text(*ts: str) -> str:
+        return f"coalesce({', '.join(f"nullif({t}, '')" for t in ts)})"
 
-def text(t) -> Column:
-    """Text of a scalar token; NULL for null."""
-    t = col(t)
-    return F.when(quoted(t), F.btrim(t, F.lit('"'))).otherwise(F.nullif(t, F.lit("null")))
+    @staticmethod
+    def unreadable(*ts: str) -> str:
+        return " or ".join(f"({Sql.counts(t)} and {Sql.number(t)} is null)" for t in ts)
 
 
-def number(t) -> Column:
-    return as_double(F.btrim(col(t), F.lit('"')))
+def tokens(path: str, schema: str) -> Column:
+    """The parsed struct at `path` with every VARIANT field as its JSON text, nested structs and lists too."""
 
+    def convert(at: str, kind: T.DataType) -> str:
+        if isinstance(kind, T.VariantType):
+            return f"to_json({at})"
+        if isinstance(kind, T.StructType):
+            return f"named_struct({', '.join(f"'{f.name}', {convert(f'{at}.{f.name}', f.dataType)}" for f in kind)})"
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            return f"transform({at}, x -> {convert('x', kind.elementType)})"
+        return at
 
-def whole(t) -> Column:
-    return as_long(F.btrim(col(t), F.lit('"')))
+    return F.expr(f"case when {path} is not null then {convert(path, T.StructType.fromDDL(schema))} end")
 
 
-def counts(t) -> Column:
-    """Whether a chain of alternatives stops at this value."""
-    t = col(t)
-    return F.coalesce(
-        F.when(quoted(t), t != '""').when(t == "true", F.lit(True)).otherwise(t.try_cast("double") != 0.0),
-        F.lit(False),
-    )
+def number(t: str) -> Column:
+    return F.expr(Sql.number(t))
 
 
-def first_counting(*ts) -> Column:
-    """First value that counts; the last one stands when none does."""
-    *head, last = [col(t) for t in ts]
-    return F.coalesce(*[F.when(counts(t), t) for t in head], last)
+def counts(t: str) -> Column:
+    """Whether a chain of alternatives stops at this value."""
+    return F.expr(Sql.counts(t))
 
 
-def first_number(*ts, default: float | None = 0.0) -> Column:
-    found = number(first_counting(*ts))
-    return found if default is None else F.coalesce(found, F.lit(default))
+def first_number(*ts: str) -> Column:
+    """Number of the first value that counts, else of the last one; 0 when that is missing."""
+    return F.expr(Sql.first_number(*ts))
 
 
-def first_whole(*ts, default: int | None = 0) -> Column:
-    found = whole(first_counting(*ts))
-    return found if default is None else F.coalesce(found, F.lit(default).cast("long"))
+def first_whole(*ts: str) -> Column:
+    return F.expr(Sql.first_whole(*ts))
 
 
-def optional_number(t) -> Column:
+def optional_number(t: str) -> Column:
     """Number if the value counts, else NULL."""
-    return F.when(counts(t), number(t))
+    return F.expr(f"case when {Sql.counts(t)} then {Sql.number(t)} end")
 
 
-def optional_whole(t) -> Column:
-    return F.when(counts(t), whole(t))
+def optional_whole(t: str) -> Column:
+    return F.expr(f"case when {Sql.counts(t)} then {Sql.whole(t)} end")
 
 
-def unreadable(*ts) -> Column:
+def unreadable(*ts: str) -> Column:
     """Whether any value counts but is not a number."""
-    bad = F.lit(False)
-    for t in ts:
-        bad = bad | (counts(t) & number(t).isNull())
-    return bad
+    return F.expr(Sql.unreadable(*ts))

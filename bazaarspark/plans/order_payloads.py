@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from bazaarspark.functions import fixed_values as fixed
 from bazaarspark.functions.dates import parse_instant
 from bazaarspark.functions.money import to_home, to_home_usd_only
-from bazaarspark.functions.payload import counts, first_number, first_whole, number, tokens, unreadable
-from bazaarspark.functions.scalars import first_text, join_parts, map_text
+from bazaarspark.functions.payload import Sql, counts, first_number, tokens, unreadable
+from bazaarspark.functions.scalars import col, first_text, join_parts, map_text
 from bazaarspark.operators.once import computed_once
 from bazaarspark.operators.quality import Split, problem, split
 
@@ -95,87 +95,86 @@ def order_platform(platform, payload, lenient: bool = False) -> Column:
     )
 
 
-def _list(item: str, *arrays: str) -> Column:
-    """First non-empty array, else an empty one."""
-    cols = [F.col(a) for a in arrays]
-    return F.coalesce(*[F.when(F.size(c) > 0, c) for c in cols], F.from_json(F.lit("[]"), f"array<struct<{item.replace('variant', 'string')}>>"))
-
-
-def _item(platform: str, **values: Column) -> Column:
-    total = values["unit_price"] * values["quantity"]
-    ordered = {
-        "item_id": F.coalesce(values["item_id"], F.lit("")),
-        "product_id": F.coalesce(values["product_id"], F.lit("")),
-        "sku": values["sku"],
-        "name": F.coalesce(values["name"], F.lit("")),
-        "quantity": values["quantity"],
-        "unit_price": values["unit_price"],
-        "total_price": total,
-        "discount": values["discount"],
-        "platform": F.lit(platform),
-        "variation": values["variation"],
-        "weight": values["weight"],
-        "readable": ~values["unreadable"],
+def _items(platform: str, schema: str, arrays: tuple[str, ...], **fields: str) -> Column:
+    """Unified items out of the first non-empty list; `fields` are SQL texts over a list element `i`."""
+    empty = f"from_json('[]', 'array<struct<{schema.replace('variant', 'string')}>>')"
+    source = f"coalesce({', '.join(f'case when size({a}) > 0 then {a} end' for a in arrays)}, {empty})"
+    cells = {
+        "item_id": f"coalesce({fields['item_id']}, '')",
+        "product_id": f"coalesce({fields['product_id']}, '')",
+        "sku": fields["sku"],
+        "name": f"coalesce({fields['name']}, '')",
+        "quantity": fields["quantity"],
+        "unit_price": fields["unit_price"],
+        "total_price": f"{fields['unit_price']} * {fields['quantity']}",
+        "discount": fields["discount"],
+        "platform": f"'{platform}'",
+        "variation": fields["variation"],
+        "weight": Sql.number("i.weight"),
+        "readable": f"not ({fields['unreadable']})",
     }
-    return F.struct(*[c.alias(n) for n, c in ordered.items()])
+    return F.expr(f"transform({source}, i -> named_struct({', '.join(f"'{n}', {c}" for n, c in cells.items())}))")
 
 
-def _shopee_item(i: Column) -> Column:
-    return _item(
+def _shopee_items() -> Column:
+    return _items(
         "shopee",
-        item_id=i["item_id"],
-        product_id=i["item_id"],
-        sku=first_text(i["model_sku"], i["item_sku"]),
-        name=i["item_name"],
-        quantity=first_whole(i["model_quantity_purchased"], i["quantity"], default=1),
-        unit_price=first_number(i["model_discounted_price"], i["item_price"]),
-        discount=F.lit(0.0),
-        variation=i["model_name"],
-        weight=number(i["weight"]),
-        unreadable=unreadable(i["model_quantity_purchased"], i["model_discounted_price"]),
+        SHOPEE_ITEM,
+        ("_shopee.item_list", "_shopee.items"),
+        item_id="i.item_id",
+        product_id="i.item_id",
+        sku=Sql.first_text("i.model_sku", "i.item_sku"),
+        name="i.item_name",
+        quantity=Sql.first_whole("i.model_quantity_purchased", "i.quantity", default="1L"),
+        unit_price=Sql.first_number("i.model_discounted_price", "i.item_price"),
+        discount="0D",
+        variation="i.model_name",
+        unreadable=Sql.unreadable("i.model_quantity_purchased", "i.model_discounted_price"),
     )
 
 
-def _lazada_item(i: Column) -> Column:
-    return _item(
+def _lazada_items() -> Column:
+    return _items(
         "lazada",
-        item_id=i["order_item_id"],
-        product_id=first_text(i["product_id"], i["sku_id"]),
-        sku=first_text(i["sku"], i["seller_sku"]),
-        name=i["name"],
-        quantity=first_whole(i["quantity"], default=1),
-        unit_price=first_number(i["item_price"], i["paid_price"]),
-        discount=first_number(i["voucher_seller"]) + first_number(i["voucher_platform"]),
-        variation=i["variation"],
-        weight=number(i["weight"]),
-        unreadable=unreadable(i["quantity"], i["item_price"], i["voucher_seller"], i["voucher_platform"]),
+        LAZADA_ITEM,
+        ("_lazada.order_items", "_lazada.items"),
+        item_id="i.order_item_id",
+        product_id=Sql.first_text("i.product_id", "i.sku_id"),
+        sku=Sql.first_text("i.sku", "i.seller_sku"),
+        name="i.name",
+        quantity=Sql.first_whole("i.quantity", default="1L"),
+        unit_price=Sql.first_number("i.item_price", "i.paid_price"),
+        discount=f"{Sql.first_number('i.voucher_seller')} + {Sql.first_number('i.voucher_platform')}",
+        variation="i.variation",
+        unreadable=Sql.unreadable("i.quantity", "i.item_price", "i.voucher_seller", "i.voucher_platform"),
     )
 
 
-def _tiktok_item(i: Column) -> Column:
-    return _item(
+def _tiktok_items() -> Column:
+    return _items(
         "tiktok_shop",
-        item_id=i["id"],
-        product_id=i["product_id"],
-        sku=first_text(i["seller_sku"], i["sku_id"]),
-        name=i["product_name"],
-        quantity=first_whole(i["quantity"], default=1),
-        unit_price=first_number(i["sale_price"], i["sku_sale_price"]),
-        discount=first_number(i["platform_discount"]) + first_number(i["seller_discount"]),
-        variation=i["sku_name"],
-        weight=number(i["weight"]),
-        unreadable=unreadable(i["quantity"], i["sale_price"], i["platform_discount"], i["seller_discount"]),
+        TIKTOK_ITEM,
+        ("_tiktok.item_list", "_tiktok.line_items"),
+        item_id="i.id",
+        product_id="i.product_id",
+        sku=Sql.first_text("i.seller_sku", "i.sku_id"),
+        name="i.product_name",
+        quantity=Sql.first_whole("i.quantity", default="1L"),
+        unit_price=Sql.first_number("i.sale_price", "i.sku_sale_price"),
+        discount=f"{Sql.first_number('i.platform_discount')} + {Sql.first_number('i.seller_discount')}",
+        variation="i.sku_name",
+        unreadable=Sql.unreadable("i.quantity", "i.sale_price", "i.platform_discount", "i.seller_discount"),
     )
 
 
 def _order(problem_column: Column, **values: Column) -> Column:
     values["item_count"] = F.size(values["items"]).cast("long")
     fields = [c for c in ORDER_FIELDS if c not in ("currency", "status")]
-    return F.struct(*[values[c].alias(c) for c in fields], problem_column.alias("problem"))
+    return F.struct(*[col(values[c]).alias(c) for c in fields], problem_column.alias("problem"))
 
 
 def _shopee(fix_discount: bool) -> Column:
-    p = lambda name: F.col(f"_shopee.{name}")
+    p = lambda name: f"_shopee.{name}"
     address = lambda name: p(f"recipient_address.{name}")
     order_number = first_text(p("order_sn"), p("ordersn"))
     voucher = first_number(p("voucher_seller"))
@@ -204,7 +203,7 @@ def _shopee(fix_discount: bool) -> Column:
         order_date=ordered,
         paid_date=parse_instant(p("pay_time")),
         shipped_date=parse_instant(p("ship_by_date")),
-        completed_date=F.when(p("order_status") == "COMPLETED", parse_instant(p("update_time"))),
+        completed_date=F.when(F.col(p("order_status")) == "COMPLETED", parse_instant(p("update_time"))),
         subtotal=first_number(p("total_amount"), p("actual_shipping_fee")),
         shipping_fee=first_number(p("actual_shipping_fee"), p("estimated_shipping_fee")),
         discount=discount,
@@ -219,9 +218,9 @@ def _shopee(fix_discount: bool) -> Column:
 
 
 def _lazada() -> Column:
-    p = lambda name: F.col(f"_lazada.{name}")
+    p = lambda name: f"_lazada.{name}"
     order_number = first_text(p("order_id"), p("order_number"))
-    is_list = p("statuses").startswith("[")
+    is_list = F.col(p("statuses")).startswith("[")
     first_state = F.get("_states", F.lit(0))
     of_items = F.aggregate("_lazada_items", F.lit(0.0), lambda total, i: total + i["total_price"])
     price = p("price")
@@ -230,7 +229,7 @@ def _lazada() -> Column:
     discount = first_number(p("voucher_seller")) + first_number(p("voucher_platform"))
     ordered = parse_instant(p("created_at"))
     address = F.col("_address")
-    is_address = p("address_shipping").startswith("{")
+    is_address = F.col(p("address_shipping")).startswith("{")
     parts = ("address1", "address2", "address3", "city", "ward", "region", "post_code")
     name = F.trim(F.concat_ws(" ", p("customer_first_name"), p("customer_last_name")))
     return _order(
@@ -251,7 +250,7 @@ def _lazada() -> Column:
         customer_id=F.coalesce(first_text(p("customer_id"), p("buyer_id")), F.lit("")),
         customer_name=F.nullif(name, F.lit("")),
         customer_phone=F.when(is_address, address["phone"]),
-        status_raw=F.coalesce(F.when(is_list, first_state).otherwise(p("status")), F.lit("")),
+        status_raw=F.coalesce(F.when(is_list, first_state).otherwise(F.col(p("status"))), F.lit("")),
         order_date=ordered,
         paid_date=parse_instant(p("payment_method_paid_date")),
         shipped_date=parse_instant(p("shipped_at")),
@@ -259,7 +258,7 @@ def _lazada() -> Column:
         subtotal=subtotal,
         shipping_fee=shipping,
         discount=discount,
-        total=F.when(price.isNotNull(), first_number(price)).otherwise(subtotal - discount + shipping),
+        total=F.when(F.col(price).isNotNull(), first_number(price)).otherwise(subtotal - discount + shipping),
         currency_raw=p("currency"),
         shipping_address=F.when(is_address, join_parts(*[address[c] for c in parts])).otherwise(
             F.nullif(p("address_shipping"), F.lit(""))
@@ -272,7 +271,7 @@ def _lazada() -> Column:
 
 
 def _tiktok() -> Column:
-    p = lambda name: F.col(f"_tiktok.{name}")
+    p = lambda name: f"_tiktok.{name}"
     paid = lambda name: p(f"payment_info.{name}")
     address = lambda name: p(f"recipient_address.{name}")
     # Two generations of the order payload name the id and the state differently.
@@ -347,9 +346,9 @@ def normalize_orders(
     parsed = computed_once(
         parsed,
         {
-            "_shopee": tokens(F.col("_shopee"), SHOPEE),
-            "_lazada": tokens(F.col("_lazada"), LAZADA),
-            "_tiktok": tokens(F.col("_tiktok"), TIKTOK),
+            "_shopee": tokens("_shopee", SHOPEE),
+            "_lazada": tokens("_lazada", LAZADA),
+            "_tiktok": tokens("_tiktok", TIKTOK),
         },
         keep=kept,
     )
@@ -358,9 +357,9 @@ def normalize_orders(
         {
             "_states": F.from_json("_lazada.statuses", "array<string>"),
             "_address": F.from_json("_lazada.address_shipping", LAZADA_ADDRESS),
-            "_shopee_items": F.transform(_list(SHOPEE_ITEM, "_shopee.item_list", "_shopee.items"), _shopee_item),
-            "_lazada_items": F.transform(_list(LAZADA_ITEM, "_lazada.order_items", "_lazada.items"), _lazada_item),
-            "_tiktok_items": F.transform(_list(TIKTOK_ITEM, "_tiktok.item_list", "_tiktok.line_items"), _tiktok_item),
+            "_shopee_items": _shopee_items(),
+            "_lazada_items": _lazada_items(),
+            "_tiktok_items": _tiktok_items(),
         },
     )
     order = F.when(shop == "shopee", _shopee(fix_discount)).when(shop == "lazada", _lazada()).when(
@@ -376,7 +375,7 @@ def normalize_orders(
         "status": status,
         "currency": raw_currency if compatible_currency else F.lit(fixed.HOME_CURRENCY),
         "currency_raw": raw_currency,
-        "extracted_at": parse_instant(F.coalesce("_o.extracted_at", "extracted_at")),
+        "extracted_at": parse_instant("coalesce(_o.extracted_at, extracted_at)"),
         **{c: money(f"_o.{c}", raw_currency) for c in ("subtotal", "shipping_fee", "discount", "total")},
         "items": F.transform("_o.items", lambda i: i.dropFields("readable")),
     }
