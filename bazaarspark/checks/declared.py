@@ -117,7 +117,7 @@ FROM (SELECT CAST(order_date AS DATE) AS date, coalesce(m.master_sku, i.sku) AS
         "d snapshot_date; s customer_id platform; l recency_days frequency; m monetary_value; l recency_score"
         " frequency_score monetary_score; s rfm_segment; d first_order_date last_order_date; l total_orders;"
         " m total_spent avg_order_value",
-        lambda s: extended.customer_segments(s.orders, AS_OF),
+        lambda s: extended.customer_segments(s.orders, AS_OF, materialize=True),
         using("stg_orders")
         + f""", customers AS (
 SELECT customer_id, platform, CAST(min(order_date) AS DATE) AS first_order_date,
@@ -214,7 +214,7 @@ FROM per AS p LEFT JOIN sold ON sold.master_sku = p.master_sku GROUP BY p.master
         "x6b_product_sales_ranked",
         "d date; s master_sku product_name; l units_sold; m gross_revenue net_revenue; l order_count; s units_by_platform;"
         " m avg_selling_price min_selling_price max_selling_price; l rank_by_units rank_by_revenue; r pct_of_total_revenue",
-        lambda s: extended.product_sales_ranked(s.items, s.sku_map, AS_OF).withColumn(
+        lambda s: extended.product_sales_ranked(s.items, s.sku_map, AS_OF, materialize=True).withColumn(
             "units_by_platform", joined_map("units_by_platform")
         ),
         using("items_mapped")

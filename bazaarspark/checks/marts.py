@@ -65,11 +65,11 @@ def m3(s: Staging):
 
 
 def m4(s: Staging):
-    return campaign.campaign_performance(s.ads, AS_OF)
+    return campaign.campaign_performance(s.ads, AS_OF, materialize=True)
 
 
 def m5(s: Staging):
-    return product.product_performance(s.items, s.orders, s.products, s.sku_map, AS_OF)
+    return product.product_performance(s.items, s.orders, s.products, s.sku_map, AS_OF, materialize=True)
 
 
 def m6(s: Staging):

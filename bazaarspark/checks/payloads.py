@@ -148,7 +148,7 @@ FX_TARGETS = ("THB", "USD", "EUR", "GBP")
 FX_SQL = {
     ("USD", "THB"): "35", ("USD", "USD"): "1", ("USD", "EUR"): "0.9205", ("USD", "GBP"): "1",
     ("EUR", "THB"): "38", ("EUR", "USD"): "1.0868", ("EUR", "EUR"): "1", ("EUR", "GBP"): "1",
-    ("THB", "THB"): "1", ("THB", "USD"): "0.0286", ("THB", "EUR"): "0.0263", ("THB", "GBP"): "0.022727272727272727",
+    ("THB", "THB"): "1", ("THB", "USD"): "0.0286", ("THB", "EUR"): "0.0263", ("THB", "GBP"): "0.0227",
     ("JPY", "THB"): "0.24", ("JPY", "USD"): "0.006864", ("JPY", "EUR"): "0.006312", ("JPY", "GBP"): "1",
     ("PHP", "THB"): "0.63", ("PHP", "USD"): "0.018018", ("PHP", "EUR"): "0.016569", ("PHP", "GBP"): "1",
     ("XXX", "THB"): "1", ("XXX", "USD"): "1", ("XXX", "EUR"): "1", ("XXX", "GBP"): "1",
@@ -549,7 +549,10 @@ FROM stg_ads WHERE platform = 'lazada_ads' AND status = 'active' GROUP BY campai
         .select("o_orderkey", "o_totalprice", records.code(F.col("o_custkey"), FX_CODES).alias("source"),
                 F.explode(F.array(*[F.lit(t) for t in FX_TARGETS])).alias("target"))
         .select("o_orderkey", "source", "target", money.convert("o_totalprice", "source", F.col("target")).alias("converted")),
-        f"""SELECT o_orderkey, source, target, CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * rate, 2) AS DOUBLE) AS converted
+        # One 44th has no finite decimal form: cents are divided half-up as whole numbers.
+        f"""SELECT o_orderkey, source, target, CASE WHEN source = 'THB' AND target = 'GBP'
+    THEN (CAST(round(o_totalprice * 100) AS BIGINT) + 22) // 44 / 100.0
+    ELSE CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * rate, 2) AS DOUBLE) END AS converted
 FROM (SELECT *, {pick('o_custkey', *FX_CODES)} AS source FROM orders) JOIN (VALUES {FX_VALUES}) AS r(source, target, rate) USING (source)""",
     ),
     Check(

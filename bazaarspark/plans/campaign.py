@@ -12,6 +12,7 @@ from bazaarspark.functions.scalars import growth, ratio
 from bazaarspark.operators.periods import period_sum
 from bazaarspark.operators.rolling import rolling_days, rolling_rows
 from bazaarspark.plans.channel import SUMMED, distinct
+from bazaarspark.session import checkpointed
 
 LOOKBACK, RECENT = 90, 30
 GRAIN = ("date", "platform", "account_id", "campaign_id", "campaign_name", "campaign_type", "objective", "status")
@@ -63,8 +64,18 @@ def history(days: DataFrame, as_of) -> DataFrame:
     )
 
 
-def campaign_performance(ads: DataFrame, as_of, approximate_distinct: bool = False) -> DataFrame:
+def campaign_performance(
+    ads: DataFrame, as_of, approximate_distinct: bool = False, materialize: bool = False
+) -> DataFrame:
+    """Daily campaign results with benchmarks, history, class and flag.
+
+    The daily sums feed the mart, the benchmarks and the history. Each use prunes other columns, so Spark
+    does not share them and reads the ads three times. `materialize=True` checkpoints the sums, a fraction
+    of the ads, and reads those instead; it runs that one job right away.
+    """
     days = campaign_days(ads, as_of, approximate_distinct)
+    if materialize:
+        days = checkpointed(days)
     # One row per advertising platform, and the filter proves it: at most six rows are broadcast.
     bench = F.broadcast(benchmarks(days, as_of).where(F.col("platform").isin(*AD_PLATFORMS)))
     joined = days.join(bench, "platform", "left").join(history(days, as_of), ["platform", "campaign_id"], "left")

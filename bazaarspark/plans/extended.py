@@ -12,6 +12,7 @@ from bazaarspark.functions.scalars import ratio, zero
 from bazaarspark.operators.ranking import with_ntile, with_rank, with_row_number
 from bazaarspark.operators.shares import with_share
 from bazaarspark.plans.product import with_master_sku
+from bazaarspark.session import checkpointed
 
 
 def entries_map(key: str, value: str) -> Column:
@@ -85,10 +86,12 @@ def sales_by_product(items: DataFrame, sku_map: DataFrame) -> DataFrame:
     )
 
 
-def customer_segments(orders: DataFrame, as_of) -> DataFrame:
+def customer_segments(orders: DataFrame, as_of, materialize: bool = False) -> DataFrame:
     """Recency, frequency and monetary value per customer and platform, each scored 1 to 5 (5 is best).
 
-    The three measures are stacked and scored in one exact n-tile pass per platform and measure.
+    The three measures are stacked and scored in one exact n-tile pass per platform and measure. That pass
+    reads its input three times; `materialize=True` checkpoints the customers first instead of deriving
+    them from the orders each time.
     """
     customers = (
         orders.where(F.col("customer_id").isNotNull() & (F.to_date("order_date") <= F.lit(as_date(as_of))))
@@ -101,6 +104,8 @@ def customer_segments(orders: DataFrame, as_of) -> DataFrame:
         )
         .withColumn("recency_days", F.date_diff(F.lit(as_date(as_of)), F.col("last_order_date")).cast("long"))
     )
+    if materialize:
+        customers = checkpointed(customers)
     # Higher is better for all three, so recency enters with its sign turned.
     stacked = customers.select(
         "*",
@@ -269,8 +274,11 @@ def product_catalog(products: DataFrame, items: DataFrame, sku_map: DataFrame, a
     )
 
 
-def product_sales_ranked(items: DataFrame, sku_map: DataFrame, as_of) -> DataFrame:
-    """Daily sales per unified SKU over all platforms with ranks and share of the day's revenue (90 days)."""
+def product_sales_ranked(items: DataFrame, sku_map: DataFrame, as_of, materialize: bool = False) -> DataFrame:
+    """Daily sales per unified SKU over all platforms with ranks and share of the day's revenue (90 days).
+
+    `materialize=True` checkpoints the daily sums, which ranking and share read several times.
+    """
     per_platform = (
         with_master_sku(items.where(since_instant("order_date", as_of, 90)), sku_map)
         .groupBy(F.to_date("order_date").alias("date"), "master_sku", "platform")
@@ -295,6 +303,8 @@ def product_sales_ranked(items: DataFrame, sku_map: DataFrame, as_of) -> DataFra
         F.min("low").alias("min_selling_price"),
         F.max("high").alias("max_selling_price"),
     )
+    if materialize:
+        days = checkpointed(days)
     priced = days.withColumn("avg_selling_price", ratio("gross_revenue", "units_sold"))
     shared = with_share(priced, "net_revenue", ["date"], "pct_of_total_revenue", 100.0)
     # Both rankings in one pass: the two measures are stacked, ranked and laid side by side again.

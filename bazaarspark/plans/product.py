@@ -10,6 +10,7 @@ from bazaarspark.functions.fixed_values import SHOP_PLATFORMS
 from bazaarspark.functions.scalars import growth, ratio
 from bazaarspark.operators.periods import period_sum
 from bazaarspark.operators.rolling import rolling_days, rolling_rows
+from bazaarspark.session import checkpointed
 
 LOOKBACK = 90
 SALES_GRAIN = ("date", "master_sku", "platform", "product_name", "variation")
@@ -109,9 +110,22 @@ def product_history(sales: DataFrame, as_of) -> DataFrame:
 
 
 def product_performance(
-    items: DataFrame, orders: DataFrame, products: DataFrame, sku_map: DataFrame, as_of, fan_out: bool = False
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    sku_map: DataFrame,
+    as_of,
+    fan_out: bool = False,
+    materialize: bool = False,
 ) -> DataFrame:
+    """Daily sales with product details and history.
+
+    The daily sales feed the mart and the history. `materialize=True` checkpoints them, so that the large
+    join of items and orders runs once; it runs that job right away.
+    """
     sales = daily_product_sales(enriched_items(items, orders, sku_map, as_of))
+    if materialize:
+        sales = checkpointed(sales)
     info = product_info(products, sku_map, fan_out)
     key = ["master_sku", "platform"]
     joined = sales.join(info, key, "left").join(product_history(sales, as_of), key, "left")
