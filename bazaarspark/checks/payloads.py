@@ -371,12 +371,9 @@ FROM stg_products AS p LEFT JOIN clean AS c ON c.platform = p.platform AND c.pla
     ),
     Check(
         "r8_reverse_lookup",
-        "s master_sku skus",
-        lambda s: sku.platform_skus(newest_map(s)).withColumn(
-            "skus", F.array_join(F.transform("skus", lambda x: F.concat_ws(":", x["platform"], x["platform_sku"])), ",")
-        ),
-        CLEAN_MAP
-        + "SELECT master_sku, string_agg(platform || ':' || platform_sku, ',' ORDER BY platform, platform_sku) AS skus FROM clean GROUP BY master_sku",
+        "s master_sku platform platform_sku",
+        lambda s: sku.platform_skus(newest_map(s)),
+        CLEAN_MAP + "SELECT DISTINCT master_sku, platform, platform_sku FROM clean",
     ),
     Check(
         "r9_unmapped_skus",

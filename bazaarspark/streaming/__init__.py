@@ -1 +1 @@
-"""Continuous variants of ingestion and event measures. An extension: the batch results are the reference."""
+"""Continuous variants of ingestion and event measures. An extension: batch results are what it is checked against."""
