@@ -40,13 +40,15 @@ def session(app: str = "bazaarspark", cores: str = "*", shuffle_partitions: int
 
 
 def shared_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints: the cluster's own setting first, a scratch folder only if there is none."""
+    """Folder for checkpoints: the cluster's own setting; a scratch folder only in local mode without one."""
     wanted = spark.conf.get("spark.checkpoint.dir", None)
     if wanted:
         return wanted
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="bazaarspark-checkpoint-")
 
 
