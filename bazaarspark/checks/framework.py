@@ -1,6 +1,7 @@
 """One description of a result's columns, applied the same way to the Spark query and its SQL.
 
-Column kinds: s text, l whole number, d date, b boolean, m money (4 decimals), r ratio (6 decimals).
+Column kinds: s text, l whole number, d date (shown as ISO text in both engines), b boolean, m money
+(4 decimals), r ratio (6 decimals).
 
 Doubles are rounded in both engines. Quotients of money often end in an exact half of the last decimal,
 which the engines round by different rules, so both add the same tiny amount first.
@@ -47,6 +48,8 @@ class Check:
         cells = []
         for name, kind in self.fields():
             cell = f'CAST("{name}" AS {SQL_TYPES[kind]})'
+            if kind == "d":
+                cell = f"CAST({cell} AS VARCHAR)"
             if kind in DECIMALS:
                 cell = f"round({cell} + CAST({NUDGE[kind]} AS DOUBLE), {DECIMALS[kind]}) + CAST(0 AS DOUBLE)"
             cells.append(f'{cell} AS "{name}"')
@@ -57,6 +60,8 @@ def shaped(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     cells = []
     for name, kind in fields:
         cell = F.col(f"`{name}`").cast(SPARK_TYPES[kind])
+        if kind == "d":
+            cell = cell.cast("string")
         if kind in DECIMALS:
             cell = F.round(cell + F.lit(float(NUDGE[kind])), DECIMALS[kind]) + F.lit(0.0)
         cells.append(cell.alias(name))
