@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarspark.llm.common import table
+from bazaarspark.llm.common import shared_folder, table
+from bazaarspark.llm.ftrl_quality import quality_scores
+from bazaarspark.llm.gated_toxicity import toxicity_scores
 from bazaarspark.llm.piece_codec import piece_digests
 from bazaarspark.llm.registry import Query
+from bazaarspark.llm.token_files import token_digests, write_tokens
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +20,23 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"), PIECES)
 
 
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    files = shared_folder(spark, "token-files")
+    write_tokens(table(spark, folder, "documents"), BYTES, files)
+    return token_digests(spark, files)
+
+
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_sentencepiece": Query(op1),
+    "op7_token_files": Query(op7),
+    "op8_toxicity": Query(op8),
+    "op10_quality": Query(op10),
 }
