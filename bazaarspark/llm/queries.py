@@ -11,6 +11,7 @@ from bazaarspark.llm.gated_toxicity import toxicity_scores
 from bazaarspark.llm.piece_codec import piece_digests
 from bazaarspark.llm.registry import Query
 from bazaarspark.llm.token_files import token_digests, write_tokens
+from bazaarspark.llm.wildcard_simhash import simhash_digest
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +21,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"), PIECES)
 
 
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_digest(table(spark, folder, "documents"))
+
+
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     files = shared_folder(spark, "token-files")
     write_tokens(table(spark, folder, "documents"), BYTES, files)
@@ -36,6 +41,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": Query(op1),
+    "op4_simhash": Query(op4),
     "op7_token_files": Query(op7),
     "op8_toxicity": Query(op8),
     "op10_quality": Query(op10),
