@@ -10,6 +10,7 @@ from bazaarspark.llm.ftrl_quality import quality_scores
 from bazaarspark.llm.gated_toxicity import toxicity_scores
 from bazaarspark.llm.piece_codec import piece_digests
 from bazaarspark.llm.registry import Query
+from bazaarspark.llm.tile_neighbours import neighbour_classes
 from bazaarspark.llm.token_files import token_digests, write_tokens
 from bazaarspark.llm.wildcard_simhash import simhash_digest
 
@@ -21,6 +22,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"), PIECES)
 
 
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbour_classes(table(spark, folder, "embeddings"))
+
+
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_digest(table(spark, folder, "documents"))
 
@@ -41,6 +46,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": Query(op1),
+    "op3_embedding_neighbours": Query(op3),
     "op4_simhash": Query(op4),
     "op7_token_files": Query(op7),
     "op8_toxicity": Query(op8),
