@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarspark.llm import block_search
 from bazaarspark.llm.common import shared_folder, table
+from bazaarspark.llm.cube_mixing import mixing_plan
 from bazaarspark.llm.ftrl_quality import quality_scores
 from bazaarspark.llm.gated_toxicity import toxicity_scores
 from bazaarspark.llm.piece_codec import piece_digests
@@ -30,6 +32,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_digest(table(spark, folder, "documents"))
 
 
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return block_search.top_k(table(spark, folder, "embeddings"))
+
+
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     files = shared_folder(spark, "token-files")
     write_tokens(table(spark, folder, "documents"), BYTES, files)
@@ -40,6 +46,10 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing_plan(table(spark, folder, "documents"))
+
+
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -48,7 +58,9 @@ QUERIES = {
     "op1_sentencepiece": Query(op1),
     "op3_embedding_neighbours": Query(op3),
     "op4_simhash": Query(op4),
+    "op6_exact_top_k": Query(op6, block_search.SQL),
     "op7_token_files": Query(op7),
     "op8_toxicity": Query(op8),
+    "op9_source_mixing": Query(op9),
     "op10_quality": Query(op10),
 }

@@ -22,13 +22,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarspark.llm.common import arrow, written
 from bazaarspark.llm.components import components, roots
-from bazaarspark.llm.vectors import lengths, matrix, near_together, unit, usable
+from bazaarspark.llm.vectors import in_lists, lengths, matrix, near_together, unit, usable
 
 THRESHOLD = 0.9
 TILE = 4096
@@ -103,56 +102,6 @@ def padded(tile: dict, dim: int) -> dict:
     return tile | wide | {"centre": np.pad(tile["centre"], (0, more))}
 
 
-def tiles(rows: DataFrame, size: int = TILE) -> DataFrame:
-    """(tile, node, copies, embedding) as one row for each tile, with lists; tiles are numbered from 0."""
-
-    def work(batches):
-        part, k, held, n = TaskContext.get().partitionId(), 0, [], 0
-        for batch in batches:
-            while batch.num_rows:
-                some = batch.slice(0, size - n)
-                held.append(some)
-                n += some.num_rows
-                batch = batch.slice(some.num_rows)
-                if n == size:
-                    yield one(part, k, held)
-                    k, held, n = k + 1, [], 0
-        if held:
-            yield one(part, k, held)
-
-    def one(part: int, k: int, held: list):
-        t = pa.Table.from_batches(held)
-        columns = []
-        for name in ("node", "copies", "embedding"):
-            c = t.column(name).combine_chunks()
-            columns.append(pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c))
-        return pa.record_batch(
-            [pa.array([part], pa.int32()), pa.array([k], pa.int32()), *columns],
-            ["part", "k", "node", "copies", "embedding"],
-        )
-
-    kind = rows.schema["embedding"].dataType.simpleString()
-    cut = arrow(
-        rows.select("node", "copies", "embedding"),
-        work,
-        f"part int, k int, node array<bigint>, copies array<bigint>, embedding array<{kind}>",
-    )
-    return written(cut, "tiles")
-
-
-def numbered(cut: DataFrame) -> tuple[DataFrame, int]:
-    """Tiles with numbers from 0 on, from the number of tiles of each partition (a short list)."""
-    counts = sorted((r["part"], r["n"]) for r in cut.groupBy("part").agg(F.count("*").alias("n")).collect())
-    starts, total = [], 0
-    for part, n in counts:
-        starts += [F.lit(part), F.lit(total)]
-        total += n
-    if not counts:
-        return cut.select(F.lit(0).alias("tile"), "node", "copies", "embedding"), 0
-    start = F.create_map(*starts)[F.col("part")]
-    return cut.select((start + F.col("k")).alias("tile"), "node", "copies", "embedding"), total
-
-
 def met(cut: DataFrame, total: int, threshold: float) -> DataFrame:
     """(node, other, links): link counts of nodes (other is null) and edges between them, from all pairs of tiles."""
     other = F.explode(F.sequence(F.lit(0), F.lit(max(0, total - 1)))).alias("other")
@@ -209,7 +158,8 @@ def neighbour_classes(vectors: DataFrame, threshold: float = THRESHOLD, tile: in
     # One node for each different vector; the written table fixes the numbers.
     nodes = fit.groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
-    cut, total = numbered(tiles(near_together(nodes.select("node", "copies", "embedding"), "embedding", "node"), tile))
+    ordered = near_together(nodes.select("node", "copies", "embedding"), "embedding", "node")
+    cut, total = in_lists(ordered, tile, "tiles")
     links = written(met(cut, total, threshold), "vector-links")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     edges = links.filter(F.col("other").isNotNull()).select(F.col("node").alias("a"), F.col("other").alias("b"))

@@ -21,6 +21,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,10 @@ from bazaarspark.llm.common import arrow, some_bytes, texts_of, written
 
 BLOCK = 128
 PERCENTILE = 0.9
-FILE_IDS = 2 << 20  # ids after which a file is closed
+FILE_IDS = 1 << 20  # ids after which a file is closed
 MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIIQII")  # magic, partition, segment, ids, documents, blocks
-REMEMBERED = 600_000  # distinct words a worker keeps; then it starts anew
+REMEMBERED = 500_000  # distinct words a worker keeps; then it starts anew
 
 # What the quick cut cannot handle: other white space, white space in runs or at an end, and the cut mark itself.
 SLOW = re.compile(r"[^\S \n]|\s\s|^\s|\s$|\x01")
@@ -67,8 +68,11 @@ class ByteEncoder:
         self.known: dict[str, bytes] = {}
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        out: list[bytes] = []
+        for i in range(0, len(texts), 2048):  # the library's own objects are large
+            found = self.library.encode_batch_fast(texts[i : i + 2048], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
@@ -108,8 +112,9 @@ def packed(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     parts: list[bytes] = [b""] * n_blocks
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        bits = (rows[at][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-        body = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        low = rows[at].astype("<u4").view(np.uint8).reshape(len(at), BLOCK, 4)[:, :, : (int(w) + 7) // 8]
+        bits = np.unpackbits(low, axis=2, bitorder="little")[:, :, :w]
+        body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
         for k, i in enumerate(at):
             parts[i] = body[k].tobytes()
     exceptions = outlier.sum(axis=1)

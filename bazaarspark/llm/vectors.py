@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import arrow
+from bazaarspark.llm.common import arrow, written
 
 PIVOTS = 64  # rows that order the others: a bounded sample, which decides the order only
 
@@ -68,3 +69,43 @@ def near_together(rows: DataFrame, column: str, tie: str) -> DataFrame:
     marked = arrow(rows, work, f"{fields}, pivot int, closeness double")
     order = ("pivot", "closeness", tie)
     return marked.repartitionByRange(*order).sortWithinPartitions(*order).drop("pivot", "closeness")
+
+
+def in_lists(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """The rows of each partition in lists of `size`, one row for each list, numbered from 0 in `tile`; their number.
+
+    Every column becomes an array. The lists are a written table, so their numbers are fixed.
+    """
+    names = rows.columns
+
+    def one(part: int, k: int, held: list):
+        t = pa.Table.from_batches(held)
+        columns = [t.column(c).combine_chunks() for c in names]
+        listed = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+        places = [pa.array([part], pa.int32()), pa.array([k], pa.int32())]
+        return pa.record_batch([*places, *listed], ["_part", "_k", *names])
+
+    def work(batches):
+        part, k, held, n = TaskContext.get().partitionId(), 0, [], 0
+        for batch in batches:
+            while batch.num_rows:
+                some = batch.slice(0, size - n)
+                held.append(some)
+                n += some.num_rows
+                batch = batch.slice(some.num_rows)
+                if n == size:
+                    yield one(part, k, held)
+                    k, held, n = k + 1, [], 0
+        if held:
+            yield one(part, k, held)
+
+    fields = ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in rows.schema)
+    cut = written(arrow(rows, work, f"_part int, _k int, {fields}"), name)
+    # How many lists each partition has: as short as the list of partitions.
+    counts = sorted((r["_part"], r["n"]) for r in cut.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    starts, total = [], 0
+    for part, n in counts:
+        starts += [F.lit(part), F.lit(total)]
+        total += n
+    first = F.create_map(*starts)[F.col("_part")] if starts else F.lit(0)
+    return cut.select((first + F.col("_k")).alias("tile"), *names), total
