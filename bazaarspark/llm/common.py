@@ -57,12 +57,20 @@ def crc32_of(column: str) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, in any case of letters."""
+    known = {t.lower() for t in taken}
+    while name in known:
+        name = "_" + name
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The whole texts of a batch; null is the empty text."""
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
-def some_bytes(batches, column: str = "text", most: int = 16 << 20):
+def some_bytes(batches, column: str | int = "text", most: int = 16 << 20):
     """Slices of Arrow batches that hold about `most` bytes of text each (one text at least)."""
     for batch in batches:
         start, size = 0, 0

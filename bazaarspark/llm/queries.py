@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarspark.llm import block_search
+from bazaarspark.llm import block_search, extendible_shards
 from bazaarspark.llm.common import shared_folder, table
 from bazaarspark.llm.cube_mixing import mixing_plan
 from bazaarspark.llm.ftrl_quality import quality_scores
@@ -14,6 +14,7 @@ from bazaarspark.llm.piece_codec import piece_digests
 from bazaarspark.llm.registry import Query
 from bazaarspark.llm.tile_neighbours import neighbour_classes
 from bazaarspark.llm.token_files import token_digests, write_tokens
+from bazaarspark.llm.unit_dedup import unit_spans
 from bazaarspark.llm.wildcard_simhash import simhash_digest
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,6 +25,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(table(spark, folder, "documents"), PIECES)
 
 
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return unit_spans(table(spark, folder, "documents"))
+
+
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return neighbour_classes(table(spark, folder, "embeddings"))
 
@@ -32,6 +37,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_digest(table(spark, folder, "documents"))
 
 
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return extendible_shards.shard_rows(table(spark, folder, "documents"))
+
+
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return block_search.top_k(table(spark, folder, "embeddings"))
 
@@ -56,8 +65,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": Query(op1),
+    "op2_unit_dedup": Query(op2),
     "op3_embedding_neighbours": Query(op3),
     "op4_simhash": Query(op4),
+    "op5_sharding": Query(op5, extendible_shards.SQL),
     "op6_exact_top_k": Query(op6, block_search.SQL),
     "op7_token_files": Query(op7),
     "op8_toxicity": Query(op8),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import arrow, some_bytes, written
+from bazaarspark.llm.common import arrow, quoted, some_bytes, written
 from bazaarspark.llm.components import components, roots
 
 BITS, SEGMENTS, DISTANCE = 64, 3, 4
@@ -59,15 +59,17 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every document; fp holds the 64 bits of the fingerprint as a signed integer."""
+    """(doc_id, tie, fp) of every document: tie is a digest of the text, fp the fingerprint as a signed integer."""
 
     def work(batches):
         for batch in some_bytes(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(t or b"", size) for t in texts], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("tie"), pa.array(found)]
+            yield pa.record_batch(columns, ["doc_id", "tie", "fp"])
 
-    return arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), work, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    return arrow(rows, work, "doc_id bigint, tie bigint, fp bigint")
 
 
 def variants(fps: DataFrame) -> DataFrame:
@@ -135,7 +137,7 @@ def linked(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def simhash_classes(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) of every document: component_id is the smallest doc_id its links reach."""
+    """(doc_id, tie, fp, component, component_id) of every document: component_id is the smallest doc_id its links reach."""
     if distance >= 2 * SEGMENTS:
         raise ValueError(f"{SEGMENTS} segments find up to {2 * SEGMENTS - 1} differing bits")
     rows = written(fingerprints(docs, size), "fingerprints")
@@ -146,11 +148,27 @@ def simhash_classes(docs: DataFrame, size: int = SHINGLE, distance: int = DISTAN
     )
     named = written(named, "fingerprint-components")
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = named.join(first, "component").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = named.join(first, "component").select("fp", "component", "component_id")
+    return rows.join(classes, "fp").select("doc_id", "tie", "fp", "component", "component_id")
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits, component_id."""
     found = simhash_classes(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The documents, all columns unchanged, with one of each group: the smallest doc_id (nulls last), then text digest."""
+    last = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
+    kept = simhash_classes(docs, size, distance).groupBy("component").agg(F.min(last).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("_id"), F.col("kept.tie").alias("_tie"))
+    rows = docs.select(
+        F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("tie"),
+    )
+    found = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
+    # Repeated rows are one document.
+    found = found.groupBy("_id", "_tie").agg(F.first("_row").alias("_row"))
+    return found.select(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))
