@@ -1,7 +1,7 @@
 """SimHash near-duplicates by one-wildcard segment variants.
 
-A fingerprint is cut into `SEGMENTS` segments, so few that among at most `DISTANCE` differing bits some segment has one
-at most (DISTANCE < 2 * SEGMENTS). Two segments differ by one bit at most exactly if they agree on all but one bit, so
+A fingerprint is cut into segments, as few as leave one of them with at most one of the differing bits: distance // 2 + 1
+(3 for up to 5 bits, 4 for up to 7). Two segments differ by one bit at most exactly if they agree on all but one bit, so
 each segment gives one key for each of its bits left out. Equal keys are candidates; their whole fingerprints are
 compared.
 
@@ -28,13 +28,17 @@ from pyspark.sql import functions as F
 from bazaarspark.llm.common import arrow, quoted, some_bytes, written
 from bazaarspark.llm.components import components, roots
 
-BITS, SEGMENTS, DISTANCE = 64, 3, 4
+BITS, DISTANCE = 64, 4
 SHINGLE, SEED = 4, 42
 TILE = 2048  # fingerprints of a key that are compared in one block
 PART = 200_000  # shingles of a text that are counted together
 
-# (first bit, number of bits) of each segment.
-CUTS = [(BITS * i // SEGMENTS, BITS * (i + 1) // SEGMENTS - BITS * i // SEGMENTS) for i in range(SEGMENTS)]
+
+def cuts(distance: int) -> list[tuple[int, int]]:
+    """(first bit, number of bits) of the segments: as few as leave one with one differing bit at most."""
+    n = distance // 2 + 1
+    ends = [BITS * i // n for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -72,10 +76,10 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return arrow(rows, work, "doc_id bigint, tie bigint, fp bigint")
 
 
-def variants(fps: DataFrame) -> DataFrame:
+def variants(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(key, fp): one row for each bit left out of each segment. The key names the segment, the bit and the rest."""
     keys, number = [], 0
-    for first, width in CUTS:
+    for first, width in cuts(distance):
         segment = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1))
         for bit in range(width):
             rest = segment.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << bit)))
@@ -138,11 +142,9 @@ def linked(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def simhash_classes(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, tie, fp, component, component_id) of every document: component_id is the smallest doc_id its links reach."""
-    if distance >= 2 * SEGMENTS:
-        raise ValueError(f"{SEGMENTS} segments find up to {2 * SEGMENTS - 1} differing bits")
     rows = written(fingerprints(docs, size), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    found = components(linked(dealt(variants(nodes.select("fp"))), distance))
+    found = components(linked(dealt(variants(nodes.select("fp"), distance)), distance))
     named = nodes.join(found, nodes.fp == found.node, "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
