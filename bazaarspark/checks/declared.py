@@ -201,7 +201,7 @@ SELECT master_sku, platform, min(name) AS name, min(brand) AS brand, min(categor
   min(unit_price) AS low, max(unit_price) AS high, sum(unit_price) AS total, count(*) AS n, bool_or(is_active) AS active
 FROM products_mapped GROUP BY ALL),
 sold AS (SELECT master_sku, sum(quantity) AS units, sum(total_price - discount) AS revenue FROM items_mapped
-  WHERE order_date >= {D} - INTERVAL 30 DAY GROUP BY master_sku)
+  WHERE order_date >= {D} - INTERVAL 30 DAY AND order_date < {D} + INTERVAL 1 DAY GROUP BY master_sku)
 SELECT p.master_sku, min(name) AS product_name, min(brand) AS brand, min(category) AS category,
   string_agg(platform, ',' ORDER BY platform) AS platforms,
   string_agg(platform || '=' || sku, ',' ORDER BY platform) AS platform_skus, min(low) AS min_price, max(high) AS max_price,
@@ -334,7 +334,7 @@ SELECT platform, 'spend_anomaly' AS alert_type, 'info' AS severity, 'spend_vs_av
   (now - mean) / mean AS metric_value, 0.5 AS threshold
 FROM (SELECT platform, coalesce(sum(spend) FILTER (date = {D} - 1), 0) AS now,
   coalesce(sum(spend) FILTER (date < {D} - 1), 0) / 7 AS mean
-  FROM stg_ads WHERE date >= {D} - 8 AND date < {D} GROUP BY platform)
+  FROM stg_ads WHERE date >= {D} - 8 AND date <= {D} AND date < {D} GROUP BY platform)
 WHERE mean > 0 AND (now - mean) / mean > 0.5""",
     ),
     Check(
@@ -346,7 +346,7 @@ WHERE mean > 0 AND (now - mean) / mean > 0.5""",
 SELECT platform, campaign_id AS entity_id, 'campaign_underperforming' AS alert_type, 'warning' AS severity,
   value / nullif(spend, 0) / nullif(b_roas, 0) AS metric_value
 FROM (SELECT platform, campaign_id, sum(spend) AS spend, sum(conversion_value) AS value FROM campaign_day
-  WHERE date >= {D} - 30 GROUP BY platform, campaign_id, campaign_name) JOIN campaign_bench USING (platform)
+  WHERE date >= {D} - 30 AND date <= {D} GROUP BY platform, campaign_id, campaign_name) JOIN campaign_bench USING (platform)
 WHERE value / nullif(spend, 0) / nullif(b_roas, 0) < 0.5""",
     ),
     Check(
@@ -355,10 +355,10 @@ WHERE value / nullif(spend, 0) / nullif(b_roas, 0) < 0.5""",
         lambda s: dashboards.scorecard(additive(s), AS_OF),
         using("daily_additive")
         + f""", sums AS (SELECT
-  coalesce(sum(net_revenue) FILTER (date >= {D} - 7), 0) AS r1, coalesce(sum(net_revenue) FILTER (date < {D} - 7), 0) AS r0,
-  coalesce(sum(total_orders) FILTER (date >= {D} - 7), 0) AS o1, coalesce(sum(total_orders) FILTER (date < {D} - 7), 0) AS o0,
-  coalesce(sum(total_ad_spend) FILTER (date >= {D} - 7), 0) AS s1, coalesce(sum(total_ad_spend) FILTER (date < {D} - 7), 0) AS s0
-  FROM daily_additive WHERE date >= {D} - 14 AND date < {D})
+  coalesce(sum(net_revenue) FILTER (date >= {D} - 7 AND date <= {D}), 0) AS r1, coalesce(sum(net_revenue) FILTER (date < {D} - 7), 0) AS r0,
+  coalesce(sum(total_orders) FILTER (date >= {D} - 7 AND date <= {D}), 0) AS o1, coalesce(sum(total_orders) FILTER (date < {D} - 7), 0) AS o0,
+  coalesce(sum(total_ad_spend) FILTER (date >= {D} - 7 AND date <= {D}), 0) AS s1, coalesce(sum(total_ad_spend) FILTER (date < {D} - 7), 0) AS s0
+  FROM daily_additive WHERE date >= {D} - 14 AND date <= {D} AND date < {D})
 SELECT *, CASE WHEN previous = 0 AND current > 0 THEN 100 WHEN previous = 0 THEN 0
     ELSE (current - previous) / previous * 100 END AS change_pct
 FROM (SELECT 'revenue' AS figure, r1 AS current, r0 AS previous FROM sums UNION ALL SELECT 'orders', o1, o0 FROM sums
@@ -370,7 +370,7 @@ FROM (SELECT 'revenue' AS figure, r1 AS current, r0 AS previous FROM sums UNION
         lambda s: dashboards.share_breakdown(additive(s), "platform", "net_revenue", AS_OF),
         using("daily_additive")
         + f"""SELECT platform, sum(net_revenue) AS amount, sum(net_revenue) / sum(sum(net_revenue)) OVER () * 100 AS share_pct
-FROM daily_additive WHERE date >= {D} - 30 GROUP BY platform""",
+FROM daily_additive WHERE date >= {D} - 30 AND date <= {D} GROUP BY platform""",
     ),
     Check(
         "q2b_ad_spend_share",
@@ -378,7 +378,7 @@ FROM daily_additive WHERE date >= {D} - 30 GROUP BY platform""",
         lambda s: dashboards.share_breakdown(s.ads, "platform", "spend", AS_OF),
         using("stg_ads")
         + f"""SELECT platform, sum(spend) AS amount, sum(spend) / sum(sum(spend)) OVER () * 100 AS share_pct
-FROM stg_ads WHERE date >= {D} - 30 GROUP BY platform""",
+FROM stg_ads WHERE date >= {D} - 30 AND date <= {D} GROUP BY platform""",
     ),
     Check(
         "q2c_category_share",
@@ -386,7 +386,7 @@ FROM stg_ads WHERE date >= {D} - 30 GROUP BY platform""",
         lambda s: dashboards.share_breakdown(m5(s), "category", "net_revenue", AS_OF),
         using("product_mart")
         + f"""SELECT category, sum(net_revenue) AS amount, sum(net_revenue) / sum(sum(net_revenue)) OVER () * 100 AS share_pct
-FROM product_mart WHERE date >= {D} - 30 GROUP BY category""",
+FROM product_mart WHERE date >= {D} - 30 AND date <= {D} GROUP BY category""",
     ),
     Check(
         "q3_calculated_fields",
@@ -427,7 +427,7 @@ SELECT CASE WHEN r <= 5 THEN source ELSE 'Other' END AS slice, sum(sessions) AS
         lambda s: dashboards.top_products_table(m5(s), AS_OF),
         using("product_mart")
         + f""", t AS (SELECT master_sku, min(product_name) AS product_name, sum(net_revenue) AS sales, sum(units_sold) AS units
-  FROM product_mart WHERE date >= {D} - 30 GROUP BY master_sku)
+  FROM product_mart WHERE date >= {D} - 30 AND date <= {D} GROUP BY master_sku)
 SELECT *, row_number() OVER (ORDER BY round(sales, 4) DESC, master_sku) AS rank,
   100 * sales / sum(sales) OVER () AS revenue_pct FROM t ORDER BY rank LIMIT 10""",
     ),
@@ -447,7 +447,7 @@ ORDER BY rank LIMIT 10""",
         using("product_mart")
         + f"""SELECT platform, master_sku, sum(net_revenue) AS sales,
   row_number() OVER (PARTITION BY platform ORDER BY round(sum(net_revenue), 4) DESC, master_sku) AS rank
-FROM product_mart WHERE date >= {D} - 30 GROUP BY platform, master_sku QUALIFY rank <= 5""",
+FROM product_mart WHERE date >= {D} - 30 AND date <= {D} GROUP BY platform, master_sku QUALIFY rank <= 5""",
     ),
     Check(
         "q7_conversion_goals",
@@ -477,7 +477,7 @@ SELECT t.date, t.revenue / nullif(t.spend, 0) AS roas,
   CASE WHEN (t.revenue - b.revenue) / nullif(b.revenue, 0) < -0.1 THEN 'Revenue Dropped >10%' ELSE '' END AS revenue_flag,
   CASE WHEN t.revenue / nullif(t.spend, 0) >= 4 THEN 'Good' WHEN t.revenue / nullif(t.spend, 0) >= 2 THEN 'OK' ELSE 'Poor'
     END AS roas_grade
-FROM t LEFT JOIN t AS b ON b.date = t.date - 7 WHERE t.date >= {D} - 30""",
+FROM t LEFT JOIN t AS b ON b.date = t.date - 7 WHERE t.date >= {D} - 30 AND t.date <= {D}""",
     ),
     Check(
         "q10_device_summary",

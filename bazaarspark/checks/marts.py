@@ -76,7 +76,7 @@ def m6(s: Staging):
     return alerts.simple_alerts(m1(s), m4(s), AS_OF)
 
 
-RECENT = f"date >= {SQL_AS_OF} - 30"
+RECENT = f"date >= {SQL_AS_OF} - 30 AND date <= {SQL_AS_OF}"
 
 CHECKS = [
     Check("m1_daily_performance", f"d date; s platform; {DAILY_MEASURES}", m1, using("daily_mart") + "SELECT * FROM daily_mart"),
@@ -172,7 +172,7 @@ FROM channel_mart WHERE {RECENT} GROUP BY platform""",
         using("channel_mart")
         + f"""
 SELECT *, sum(spend) OVER month AS mtd_spend, sum(platform_conversion_value) OVER month AS mtd_conversion_value
-FROM channel_mart WHERE date >= {SQL_AS_OF} - 90
+FROM channel_mart WHERE date >= {SQL_AS_OF} - 90 AND date <= {SQL_AS_OF}
 WINDOW month AS (PARTITION BY platform, date_trunc('month', date) ORDER BY date)""",
     ),
     Check(
@@ -271,7 +271,7 @@ ORDER BY round(total_revenue, 4) DESC, master_sku, platform, product_name, categ
         using("product_mart")
         + f"""
 SELECT *, sum(units_sold) OVER w AS units_7d_rolling, sum(net_revenue) OVER w AS revenue_7d_rolling
-FROM product_mart WHERE date >= {SQL_AS_OF} - 60
+FROM product_mart WHERE date >= {SQL_AS_OF} - 60 AND date <= {SQL_AS_OF}
 WINDOW w AS (PARTITION BY master_sku, platform
   ORDER BY date, product_name NULLS FIRST, variation NULLS FIRST ROWS 6 PRECEDING)""",
     ),
@@ -302,7 +302,7 @@ FROM product_mart WHERE category IS NOT NULL AND date = (SELECT max(date) FROM p
         + f"""
 SELECT alert_type, severity, count(*) AS alert_count, count(DISTINCT platform) AS platforms_affected,
   count(DISTINCT entity_id) AS entities_affected, min(alert_date) AS earliest_alert, max(alert_date) AS latest_alert
-FROM alerts WHERE alert_date >= {SQL_AS_OF} - 7 GROUP BY ALL""",
+FROM alerts WHERE alert_date >= {SQL_AS_OF} - 7 AND alert_date <= {SQL_AS_OF} GROUP BY ALL""",
     ),
     Check(
         "v14_platform_alert_health",
@@ -313,7 +313,7 @@ FROM alerts WHERE alert_date >= {SQL_AS_OF} - 7 GROUP BY ALL""",
 SELECT *, greatest(0, 100 - 20 * critical_alerts - 5 * warning_alerts - info_alerts) AS health_score FROM (
   SELECT platform, count(*) FILTER (severity = 'critical') AS critical_alerts,
     count(*) FILTER (severity = 'warning') AS warning_alerts, count(*) FILTER (severity = 'info') AS info_alerts,
-    count(*) AS total_alerts FROM alerts WHERE alert_date >= {SQL_AS_OF} - 7 GROUP BY platform)""",
+    count(*) AS total_alerts FROM alerts WHERE alert_date >= {SQL_AS_OF} - 7 AND alert_date <= {SQL_AS_OF} GROUP BY platform)""",
     ),
     Check(
         "v15_alert_trend",
@@ -321,7 +321,7 @@ SELECT *, greatest(0, 100 - 20 * critical_alerts - 5 * warning_alerts - info_ale
         lambda s: alerts.alert_trend(m6(s), AS_OF),
         using("alerts")
         + f"""SELECT alert_date, alert_type, severity, count(*) AS alert_count FROM alerts
-WHERE alert_date >= {SQL_AS_OF} - 30 GROUP BY ALL""",
+WHERE alert_date >= {SQL_AS_OF} - 30 AND alert_date <= {SQL_AS_OF} GROUP BY ALL""",
     ),
     Check(
         "l6_alert_counts",
@@ -330,7 +330,7 @@ WHERE alert_date >= {SQL_AS_OF} - 30 GROUP BY ALL""",
         using("alerts")
         + f"""SELECT count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'warning') AS warning,
   count(*) FILTER (severity = 'info') AS info, count(*) AS total, {SQL_AS_OF} AS as_of
-FROM alerts WHERE alert_date >= {SQL_AS_OF} - 1""",
+FROM alerts WHERE alert_date >= {SQL_AS_OF} - 1 AND alert_date <= {SQL_AS_OF}""",
     ),
     Check(
         "s12_active_alerts_lookup",

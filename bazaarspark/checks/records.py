@@ -239,7 +239,7 @@ def landed_ads(s: Staging) -> DataFrame:
     )
     kind = F.pmod(sup, F.lit(6))
     value = F.when(kind == 0, facebook).when(kind == 1, google).when(kind == 2, tiktok).otherwise(flat)
-    rows = s.table("lineitem").where(F.to_date("l_shipdate") <= F.lit(AS_OF))
+    rows = s.table("lineitem")
     return from_text(s.spread(rows, "l_orderkey").select(value.alias("value")))
 
 

@@ -122,7 +122,7 @@ FROM (
     CAST(floor(l_quantity * 7) AS BIGINT) AS video_views,
     CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS BIGINT) END AS likes, CAST(l_linenumber AS BIGINT) AS comments,
     l_partkey % 3 AS shares
-  FROM lineitem WHERE CAST(l_shipdate AS DATE) <= {AS_OF}
+  FROM lineitem
 )
 """,
 )
@@ -179,7 +179,7 @@ SELECT CAST(order_date AS DATE) AS date, platform, count(*) AS total_orders,
   count(*) FILTER (status = 'pending') AS pending_orders, sum(total) AS gross_revenue,
   sum(total - discount) AS net_revenue, sum(discount) AS total_discount, sum(shipping_fee) AS total_shipping_fee,
   sum(item_count) AS total_items_sold, count(DISTINCT customer_id) AS unique_customers
-FROM stg_orders WHERE order_date >= {AS_OF} - INTERVAL 90 DAY GROUP BY ALL
+FROM stg_orders WHERE order_date >= {AS_OF} - INTERVAL 90 DAY AND order_date < {AS_OF} + INTERVAL 1 DAY GROUP BY ALL
 """,
 )
 stage(
@@ -192,7 +192,7 @@ SELECT date, platform AS ads_platform,
   sum(spend) AS total_ad_spend, sum(impressions) AS total_impressions, sum(clicks) AS total_clicks,
   sum(conversions) AS total_conversions, sum(conversion_value) AS total_conversion_value,
   avg(ctr) AS avg_ctr, avg(cpc) AS avg_cpc, avg(cpm) AS avg_cpm
-FROM stg_ads WHERE date >= {AS_OF} - 90 GROUP BY ALL
+FROM stg_ads WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} GROUP BY ALL
 """,
 )
 M1_MEASURES = """
@@ -228,7 +228,7 @@ FROM orders_day AS o FULL JOIN (
     sum(spend) AS total_ad_spend, sum(impressions) AS total_impressions, sum(clicks) AS total_clicks,
     sum(conversions) AS total_conversions, sum(conversion_value) AS total_conversion_value,
     avg(ctr) AS avg_ctr, avg(cpc) AS avg_cpc, avg(cpm) AS avg_cpm
-  FROM stg_ads WHERE date >= {AS_OF} - 90 GROUP BY ALL) AS a ON o.date = a.date AND o.platform = a.shop
+  FROM stg_ads WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} GROUP BY ALL) AS a ON o.date = a.date AND o.platform = a.shop
 """,
 )
 stage(
@@ -272,14 +272,14 @@ FROM (
     count(DISTINCT customer_id) AS total_customers_all_time,
     CAST(min(order_date) AS DATE) AS first_order_date, CAST(max(order_date) AS DATE) AS last_order_date
   FROM (SELECT *, date_diff('second', order_date, CAST({AS_OF} AS TIMESTAMP)) / 86400.0 AS age FROM stg_orders)
-  WHERE age <= 365 GROUP BY platform) AS o
+  WHERE age > -1 AND age <= 365 GROUP BY platform) AS o
 LEFT JOIN (
   SELECT CASE platform WHEN 'shopee_ads' THEN 'shopee' WHEN 'lazada_ads' THEN 'lazada' ELSE 'tiktok_shop' END AS shop,
-    coalesce(sum(spend) FILTER (date >= {AS_OF} - 30), 0) AS ad_30,
+    coalesce(sum(spend) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}), 0) AS ad_30,
     coalesce(sum(spend) FILTER (date < {AS_OF} - 30), 0) AS ad_60,
-    sum(impressions) FILTER (date >= {AS_OF} - 30) AS impressions_30,
-    sum(clicks) FILTER (date >= {AS_OF} - 30) AS clicks_30, sum(conversions) FILTER (date >= {AS_OF} - 30) AS conversions_30
-  FROM stg_ads WHERE platform IN ('shopee_ads', 'lazada_ads', 'tiktok_ads') AND date >= {AS_OF} - 60 GROUP BY ALL
+    sum(impressions) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}) AS impressions_30,
+    sum(clicks) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}) AS clicks_30, sum(conversions) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}) AS conversions_30
+  FROM stg_ads WHERE platform IN ('shopee_ads', 'lazada_ads', 'tiktok_ads') AND date >= {AS_OF} - 60 AND date <= {AS_OF} GROUP BY ALL
 ) AS a ON a.shop = o.platform
 """,
 )
@@ -309,7 +309,7 @@ SELECT date, platform, sum(spend) AS spend, sum(impressions) AS impressions, sum
   sum(conversions) AS conversions, sum(conversion_value) AS conversion_value, sum(video_views) AS video_views,
   sum(likes) AS likes, sum(comments) AS comments, sum(shares) AS shares,
   count(DISTINCT campaign_id) AS active_campaigns, count(DISTINCT ad_id) AS active_ads
-FROM stg_ads WHERE date >= {AS_OF} - 90 GROUP BY ALL
+FROM stg_ads WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} GROUP BY ALL
 """,
 )
 stage(
@@ -318,7 +318,7 @@ stage(
     f"""
 SELECT date, {CHANNEL} AS platform, sum(sessions) AS sessions, sum(total_users) AS users, sum(new_users) AS new_users,
   avg(bounce_rate) AS bounce, avg(avg_session_duration) AS duration
-FROM stg_ga4_sessions WHERE date >= {AS_OF} - 90 GROUP BY ALL
+FROM stg_ga4_sessions WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} GROUP BY ALL
 """,
 )
 stage(
@@ -326,7 +326,7 @@ stage(
     ("stg_ga4_sessions",),
     f"""
 SELECT date, {CHANNEL} AS platform, sum(transactions) AS transactions, sum(revenue) AS revenue
-FROM stg_ga4_sessions WHERE date >= {AS_OF} - 90 GROUP BY ALL
+FROM stg_ga4_sessions WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} GROUP BY ALL
 """,
 )
 stage(
@@ -348,7 +348,7 @@ SELECT date, platform, account_id, campaign_id, campaign_name, campaign_type, ob
   sum(conversion_value) AS conversion_value, sum(video_views) AS video_views, sum(likes) AS likes,
   sum(comments) AS comments, sum(shares) AS shares, count(DISTINCT adgroup_id) AS active_adgroups,
   count(DISTINCT ad_id) AS active_ads
-FROM stg_ads WHERE date >= {AS_OF} - 90 AND level IN ('campaign', 'ad', 'adgroup') GROUP BY ALL
+FROM stg_ads WHERE date >= {AS_OF} - 90 AND date <= {AS_OF} AND level IN ('campaign', 'ad', 'adgroup') GROUP BY ALL
 """,
 )
 stage(
@@ -357,7 +357,7 @@ stage(
     f"""
 SELECT platform, avg(clicks / nullif(impressions, 0)) AS b_ctr, avg(spend / nullif(clicks, 0)) AS b_cpc,
   avg(conversion_value / nullif(spend, 0)) AS b_roas
-FROM campaign_day WHERE date >= {AS_OF} - 30 GROUP BY platform
+FROM campaign_day WHERE date >= {AS_OF} - 30 AND date <= {AS_OF} GROUP BY platform
 """,
 )
 stage(
@@ -365,11 +365,11 @@ stage(
     ("campaign_day",),
     f"""
 SELECT platform, campaign_id, min(date) AS first_active_date, max(date) AS last_active_date,
-  count(DISTINCT date) AS days_active, coalesce(sum(spend) FILTER (date >= {AS_OF} - 7), 0) AS spend_7d,
-  coalesce(sum(spend) FILTER (date >= {AS_OF} - 14 AND date < {AS_OF} - 7), 0) AS spend_prev_7d,
-  coalesce(sum(conversion_value) FILTER (date >= {AS_OF} - 7), 0) AS conv_value_7d,
-  coalesce(sum(conversion_value) FILTER (date >= {AS_OF} - 14 AND date < {AS_OF} - 7), 0) AS conv_value_prev_7d
-FROM campaign_day WHERE date >= {AS_OF} - 30 GROUP BY ALL
+  count(DISTINCT date) AS days_active, coalesce(sum(spend) FILTER (date >= {AS_OF} - 7 AND date <= {AS_OF}), 0) AS spend_7d,
+  coalesce(sum(spend) FILTER (date >= {AS_OF} - 14 AND date <= {AS_OF} AND date < {AS_OF} - 7), 0) AS spend_prev_7d,
+  coalesce(sum(conversion_value) FILTER (date >= {AS_OF} - 7 AND date <= {AS_OF}), 0) AS conv_value_7d,
+  coalesce(sum(conversion_value) FILTER (date >= {AS_OF} - 14 AND date <= {AS_OF} AND date < {AS_OF} - 7), 0) AS conv_value_prev_7d
+FROM campaign_day WHERE date >= {AS_OF} - 30 AND date <= {AS_OF} GROUP BY ALL
 """,
 )
 stage(
@@ -403,7 +403,7 @@ SELECT i.*, coalesce(m.master_sku, i.sku) AS master_sku, o.status AS order_statu
 FROM stg_order_items AS i
 LEFT JOIN stg_sku_mappings AS m ON m.platform = i.platform AND m.platform_sku = i.sku
 LEFT JOIN stg_orders AS o ON o.order_id = i.order_id
-WHERE i.order_date >= {AS_OF} - INTERVAL 90 DAY
+WHERE i.order_date >= {AS_OF} - INTERVAL 90 DAY AND i.order_date < {AS_OF} + INTERVAL 1 DAY
 """,
 )
 stage(
@@ -448,12 +448,12 @@ stage(
     "product_past",
     ("product_day",),
     f"""
-SELECT master_sku, platform, coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 7), 0) AS units_7d,
-  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 14 AND date < {AS_OF} - 7), 0) AS units_prev_7d,
-  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 30), 0) AS units_30d,
-  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 60 AND date < {AS_OF} - 30), 0) AS units_prev_30d,
-  coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 30), 0) AS revenue_30d,
-  coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 60 AND date < {AS_OF} - 30), 0) AS revenue_prev_30d
+SELECT master_sku, platform, coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 7 AND date <= {AS_OF}), 0) AS units_7d,
+  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 14 AND date <= {AS_OF} AND date < {AS_OF} - 7), 0) AS units_prev_7d,
+  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}), 0) AS units_30d,
+  coalesce(sum(units_sold) FILTER (date >= {AS_OF} - 60 AND date <= {AS_OF} AND date < {AS_OF} - 30), 0) AS units_prev_30d,
+  coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 30 AND date <= {AS_OF}), 0) AS revenue_30d,
+  coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 60 AND date <= {AS_OF} AND date < {AS_OF} - 30), 0) AS revenue_prev_30d
 FROM product_day GROUP BY ALL
 """,
 )
@@ -493,9 +493,9 @@ stage(
     ("daily_mart",),
     f"""
 SELECT platform, now, before, (now - before) / before AS drop_rate FROM (
-  SELECT platform, coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 7), 0) AS now,
+  SELECT platform, coalesce(sum(net_revenue) FILTER (date >= {AS_OF} - 7 AND date <= {AS_OF}), 0) AS now,
     coalesce(sum(net_revenue) FILTER (date < {AS_OF} - 7), 0) AS before
-  FROM daily_mart WHERE date >= {AS_OF} - 14 AND date < {AS_OF} GROUP BY platform) WHERE before > 0
+  FROM daily_mart WHERE date >= {AS_OF} - 14 AND date <= {AS_OF} AND date < {AS_OF} GROUP BY platform) WHERE before > 0
 """,
 )
 stage(

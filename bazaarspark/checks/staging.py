@@ -141,7 +141,7 @@ class Staging:
         clicks = F.floor(F.col("l_quantity") * F.col("l_tax") * 10).cast("long")
         conversions = F.floor(F.col("l_quantity") * F.col("l_tax")).cast("long")
         spend = F.col("l_extendedprice") * F.lit(0.01)
-        return i.where(day <= F.lit(AS_OF)).select(
+        return i.select(
             F.concat_ws(
                 "_", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
             ).alias("record_id"),

@@ -33,30 +33,41 @@ def day(as_of, back: int = 0) -> Column:
 
 
 def since_day(c, as_of, days: int) -> Column:
-    """Date at or after `days` days before the as-of date. A literal bound, so partitions prune."""
-    return col(c) >= day(as_of, days)
+    """Date from `days` days before the as-of date up to that date, so a past day can be replayed.
 
+    Literal bounds, so partitions prune.
+    """
+    return (col(c) >= day(as_of, days)) & (col(c) <= day(as_of))
 
-def since_instant(c, as_of, days: int) -> Column:
-    """Timestamp at or after exactly `days` x 24 h before the as-of moment, not cut to midnight."""
+
+def before(as_of, days: int) -> Column:
+    """The moment exactly `days` x 24 h before the as-of moment, not cut to midnight."""
     start = as_of if isinstance(as_of, dt.datetime) else dt.datetime.combine(as_date(as_of), dt.time())
-    return col(c) >= as_instant(start - dt.timedelta(days=days))
+    return as_instant(start - dt.timedelta(days=days))
+
+
+def since_instant(c, as_of, days: int) -> Column:
+    """Timestamp from `days` x 24 h before the as-of moment up to it; a plain as-of date counts to its end."""
+    until = col(c) <= as_instant(as_of) if isinstance(as_of, dt.datetime) else col(c) < before(as_of, -1)
+    return (col(c) >= before(as_of, days)) & until
 
 
 def between_days(c, as_of, newest: int | None, oldest: int) -> Column:
-    """Date in [as_of - oldest, as_of - newest); `newest=None` leaves the upper end open."""
+    """Date in [as_of - oldest, as_of - newest); `newest=None` ends with the as-of date itself."""
     inside = since_day(c, as_of, oldest)
     return inside if newest is None else inside & (col(c) < day(as_of, newest))
 
 
 def between_instants(c, as_of, newest: int | None, oldest: int) -> Column:
     inside = since_instant(c, as_of, oldest)
-    return inside if newest is None else inside & ~since_instant(c, as_of, newest)
+    return inside if newest is None else inside & (col(c) < before(as_of, newest))
 
 
+# Epoch seconds of 0001-01-01 and 9999-12-31: what lies outside, such as milliseconds, is no readable instant.
 INSTANT = (
-    "case when trim({0}) rlike '^-?[0-9]{{9,}}([.][0-9]+)?$'"
-    " then timestamp_micros(cast(try_cast(trim({0}) as double) * 1000000 as bigint))"
+    "case when trim({0}) rlike '^-?[0-9]+([.][0-9]+)?$'"
+    " then case when try_cast(trim({0}) as double) between -62135596800 and 253402300799"
+    " then timestamp_micros(cast(try_cast(trim({0}) as double) * 1000000 as bigint)) end"
     " when trim({0}) rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' then try_cast(concat(trim({0}), 'T00:00:00Z') as timestamp)"
     " when trim({0}) rlike '(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$' then try_cast(trim({0}) as timestamp)"
     " else try_cast(concat(trim({0}), 'Z') as timestamp) end"

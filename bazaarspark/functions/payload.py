@@ -15,6 +15,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Beyond this, converted amounts would not fit their decimals.
+LARGEST = "1e18D"
+
 
 class Sql:
     """SQL text of the functions below, for use inside larger expressions."""
@@ -54,7 +57,11 @@ class Sql:
 
     @staticmethod
     def unreadable(*ts: str) -> str:
-        return " or ".join(f"({Sql.counts(t)} and {Sql.number(t)} is null)" for t in ts)
+        """Any value that counts and is no number, or one that no amount column can hold (NaN, infinities, 1e30)."""
+        n = Sql.number
+        return " or ".join(
+            f"({Sql.counts(t)} and ({n(t)} is null or isnan({n(t)}) or abs({n(t)}) > {LARGEST}))" for t in ts
+        )
 
 
 def tokens(path: str, schema: str) -> Column:

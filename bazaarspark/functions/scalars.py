@@ -70,7 +70,7 @@ def lookup(c, mapping: Mapping[str, str]) -> Column:
 def number_text(c, places: int = 2) -> Column:
     """Rounded number as plain text without trailing zeros: 1.50 -> 1.5, 2.00 -> 2."""
     fixed = F.round(col(c), places).cast(f"decimal(38,{places})").cast("string")
-    return F.regexp_replace(fixed, r"\.?0+$", "")
+    return F.regexp_replace(fixed, r"\.0*$|(\.[0-9]*?)0+$", "$1") if places else fixed
 
 
 def stable_id(*cols) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarspark.functions.dates import since_day
-from bazaarspark.functions.fixed_values import AD_PLATFORMS
 from bazaarspark.functions.labels import campaign_class, optimization_flag
 from bazaarspark.functions.scalars import growth, ratio
 from bazaarspark.operators.periods import period_sum
@@ -76,8 +75,8 @@ def campaign_performance(
     days = campaign_days(ads, as_of, approximate_distinct)
     if materialize:
         days = checkpointed(days)
-    # One row per advertising platform, and the filter proves it: at most six rows are broadcast.
-    bench = F.broadcast(benchmarks(days, as_of).where(F.col("platform").isin(*AD_PLATFORMS)))
+    # One row per advertising platform present; Spark sees how small it is.
+    bench = benchmarks(days, as_of)
     joined = days.join(bench, "platform", "left").join(history(days, as_of), ["platform", "campaign_id"], "left")
     engagement = F.col("likes") + F.col("comments") + F.col("shares")
     rated = joined.withColumns(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarspark.functions.dates import between_days, day, since_day
-from bazaarspark.functions.fixed_values import AD_PLATFORMS
 from bazaarspark.functions.scalars import ratio
 from bazaarspark.operators.periods import period_sum
 from bazaarspark.plans.campaign import benchmarks, campaign_days
@@ -73,7 +72,7 @@ def spend_metrics(ads: DataFrame, as_of) -> DataFrame:
 def campaign_metrics(ads: DataFrame, as_of) -> DataFrame:
     """ROAS of each campaign over 30 days as a fraction of its platform's benchmark (own definition)."""
     days = campaign_days(ads, as_of)
-    bench = F.broadcast(benchmarks(days, as_of).where(F.col("platform").isin(*AD_PLATFORMS)))
+    bench = benchmarks(days, as_of)
     sums = (
         days.where(since_day("date", as_of, 30))
         .groupBy("platform", "campaign_id", "campaign_name")
