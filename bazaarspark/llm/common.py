@@ -108,3 +108,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
     rows = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "label").limit(most).collect()
     return [(r["text"], r["label"]) for r in rows]
+
+
+class Remembered(dict):
+    """Values by key for the lists at hand, at most about `most` of them.
+
+    When half of the room is used, the values become the old ones; those that are met again move back, so frequent keys
+    stay and rare ones go.
+    """
+
+    def __init__(self, most: int, fixed: dict | None = None):
+        super().__init__(fixed or {})
+        self.most, self.fixed, self.old = most, dict(fixed or {}), {}
+
+    def make_room(self) -> None:
+        if len(self) > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+            self.update(self.fixed)
+
+    def missing(self, lists) -> list:
+        """The different keys of the lists that have no value; the others are found by plain lookup from here on."""
+        absent = {k for keys in lists for k in keys if k not in self}
+        back = absent & self.old.keys()
+        self.update((k, self.old[k]) for k in back)
+        return list(absent - back)

@@ -22,11 +22,11 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bazaarspark.llm.common import arrow, some_bytes, texts_of
+from bazaarspark.llm.common import Remembered, arrow, some_bytes, texts_of
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-REMEMBERED = 600_000  # distinct segments a worker keeps; then it starts anew
+REMEMBERED = 900_000  # distinct segments a worker keeps
 SHORT = 48  # characters up to which scanning a list beats a heap
 NONE = float("inf")
 
@@ -50,7 +50,7 @@ class Merger:
             self.surface[i] = names[i].replace(MARK, " ").encode()
         for b, i in self.bytes.items():
             self.surface[i] = bytes([b])
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Remembered(REMEMBERED)
 
     def merged(self, segment: str) -> tuple[int, ...]:
         """Ids of one segment by the agenda: a plain list of scores when it is short, a heap when it is long."""
@@ -125,10 +125,9 @@ class Merger:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts; what is new in this batch is held against the library."""
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        known.make_room()
         cut = [self.segments(t) for t in texts]
-        new = list({s for parts in cut for s in parts if s not in known})
+        new = known.missing(cut)
         merged = [self.merged(s) for s in new]
         theirs = self.library.encode([s[1:] for s in new], num_threads=1) if new else []
         for s, mine, lib in zip(new, merged, theirs):

@@ -29,14 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import arrow, some_bytes, texts_of, written
+from bazaarspark.llm.common import Remembered, arrow, some_bytes, texts_of, written
 
 BLOCK = 128
 PERCENTILE = 0.9
 FILE_IDS = 1 << 20  # ids after which a file is closed
 MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIIQII")  # magic, partition, segment, ids, documents, blocks
-REMEMBERED = 500_000  # distinct words a worker keeps; then it starts anew
+REMEMBERED = 1_000_000  # distinct words a worker keeps
+MARKS = ".,"
 
 # What the quick cut cannot handle: other white space, white space in runs or at an end, and the cut mark itself.
 SLOW = re.compile(r"[^\S \n]|\s\s|^\s|\s$|\x01")
@@ -65,27 +66,46 @@ class ByteEncoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space", True)
         )
-        self.known: dict[str, bytes] = {}
+        feed = self.library.encode("\n", add_special_tokens=False).ids
+        self.cuts = self.cuts and len(feed) == 1
+        self.feed = feed[0]
+        self.known = Remembered(REMEMBERED, {"\n": array("I", feed).tobytes(), "": b""})
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of cut words: many of them as one text, which is cheaper than a text for each.
+
+        A line feed stands before each word. No word holds one or is ever joined to one, so its id marks the words.
+        """
         out: list[bytes] = []
-        for i in range(0, len(texts), 2048):  # the library's own objects are large
-            found = self.library.encode_batch_fast(texts[i : i + 2048], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in found]
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            found = self.library.encode_batch_fast(["\n" + "\n".join(some)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            marks = np.flatnonzero(ids == self.feed)
+            raw, first, last = ids.tobytes(), (4 * marks + 4).tolist(), (4 * marks[1:]).tolist() + [4 * len(ids)]
+            out += [raw[a:b] for a, b in zip(first, last)]
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        known.make_room()
         slow = SLOW.search
         cut = [
             t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01") if self.cuts and not slow(t) else None
             for t in texts
         ]
-        new = list({w for words in cut if words is not None for w in words if w not in known})
-        known.update(zip(new, self.library_ids(new)))
+        new = known.missing(words for words in cut if words is not None)
+        # Marks behind a letter or digit are cut off as well: the pre-tokenizer always does.
+        ends = [(w, base, w[len(base) :]) for w in new if (base := w.rstrip(MARKS)) != w and base[-1:].isalnum()]
+        cut_off = {w for w, _, _ in ends}
+        more = known.missing([[w for w in new if w not in cut_off], (b for _, b, _ in ends), (e for _, _, e in ends)])
+        known.update(zip(more, self.word_ids(more)))
+        known.update((w, known[base] + known[end]) for w, base, end in ends)
         whole = iter(self.library_ids([t for t, words in zip(texts, cut) if words is None]))
         ids = known.__getitem__
         return [next(whole) if words is None else b"".join(map(ids, words)) for words in cut]
@@ -109,23 +129,31 @@ def packed(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     kth = int(np.ceil(PERCENTILE * BLOCK)) - 1
     width = bit_length(np.partition(rows, kth, axis=1)[:, kth])
     outlier = rows >= (np.uint64(1) << width.astype(np.uint64))[:, None]
-    parts: list[bytes] = [b""] * n_blocks
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        low = rows[at].astype("<u4").view(np.uint8).reshape(len(at), BLOCK, 4)[:, :, : (int(w) + 7) // 8]
-        bits = np.unpackbits(low, axis=2, bitorder="little")[:, :, :w]
-        body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
-        for k, i in enumerate(at):
-            parts[i] = body[k].tobytes()
     exceptions = outlier.sum(axis=1)
-    for i in np.flatnonzero(exceptions):
-        where = np.flatnonzero(outlier[i])
-        parts[i] = where.astype(np.uint8).tobytes() + rows[i, where].astype("<u4").tobytes() + parts[i]
-    heads = np.zeros(n_blocks, dtype=[("least", "<u4"), ("width", "u1"), ("exceptions", "u1")])
-    heads["least"], heads["width"], heads["exceptions"] = least, width, exceptions
-    parts = [h.tobytes() + p for h, p in zip(heads, parts)]
-    sizes = np.array([len(p) for p in parts], np.uint64)
-    return b"".join(parts), (np.cumsum(sizes) - sizes).astype("<u4")
+    size = 6 + 5 * exceptions + width.astype(np.int64) * (BLOCK // 8)
+    starts = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    # A block: smallest id, width, number of exceptions; their positions; their values; the packed values.
+    out[starts[:, None] + np.arange(4)] = as_bytes(least)
+    out[starts + 4], out[starts + 5] = width, exceptions
+    block, position = np.nonzero(outlier)
+    rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
+    out[starts[block] + 6 + rank] = position
+    values_at = starts[block] + 6 + exceptions[block] + 4 * rank
+    out[values_at[:, None] + np.arange(4)] = as_bytes(rows[block, position])
+    for w in np.unique(width):
+        if w:
+            at = np.flatnonzero(width == w)
+            low = as_bytes(rows[at].reshape(-1)).reshape(len(at), BLOCK, 4)[:, :, : (int(w) + 7) // 8]
+            bits = np.unpackbits(low, axis=2, bitorder="little")[:, :, :w]
+            body = np.packbits(bits.reshape(len(at), -1), axis=1, bitorder="little")
+            out[(starts + 6 + 5 * exceptions)[at][:, None] + np.arange(body.shape[1])] = body
+    return out.tobytes(), starts.astype("<u4")
+
+
+def as_bytes(values: np.ndarray) -> np.ndarray:
+    """Little-endian bytes of unsigned 32-bit numbers, four in a row."""
+    return np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
 
 
 def bit_length(values: np.ndarray) -> np.ndarray:
@@ -149,9 +177,11 @@ def unpacked(body: bytes, starts: np.ndarray, n: int) -> np.ndarray:
             rows = raw[packed_at[at][:, None] + np.arange(int(w) * BLOCK // 8)]
             bits = np.unpackbits(rows, axis=1, bitorder="little").reshape(len(at), BLOCK, int(w))
             out[at] = bits @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
-    for i in np.flatnonzero(exceptions):
-        k, s = int(exceptions[i]), int(starts[i]) + 6
-        out[i, raw[s : s + k]] = np.frombuffer(body, "<u4", k, s + k)
+    block = np.repeat(np.arange(len(starts)), exceptions)
+    rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
+    values_at = starts[block] + 6 + exceptions[block] + 4 * rank
+    values = np.ascontiguousarray(raw[values_at[:, None] + np.arange(4)]).view("<u4")[:, 0]
+    out[block, raw[starts[block] + 6 + rank]] = values
     return (out + least[:, None]).reshape(-1)[:n]
 
 
