@@ -87,7 +87,8 @@ def stitch_details(
 
     The array is ordered by content, so reruns agree. Its size is bounded by what one order can hold.
     """
-    lists = details.groupBy(F.col(detail_key).alias("_key")).agg(F.sort_array(F.collect_list(item)).alias(name))
+    named = details.where(F.col(detail_key).isNotNull())  # orphans join nothing
+    lists = named.groupBy(F.col(detail_key).alias("_key")).agg(F.sort_array(F.collect_list(item)).alias(name))
     empty = F.array().cast(T.ArrayType(details.schema[item].dataType))
     return (
         orders.join(lists, F.col(order_key) == F.col("_key"), "left")

@@ -33,9 +33,14 @@ def stream_to_staging(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        parts = normalize(from_text(batch))
-        load_staging(batch.sparkSession, table, parts.good, folder, database)
-        parts.dead.write.mode("overwrite").parquet(f"{folder}/dead_letters/{table}/batch={number}")
+        # Good and dead rows both come from the batch: it is read once.
+        batch.persist()
+        try:
+            parts = normalize(from_text(batch))
+            load_staging(batch.sparkSession, table, parts.good, folder, database)
+            parts.dead.write.mode("overwrite").parquet(f"{folder}/dead_letters/{table}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write)
