@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import arrow, fresh, quoted, some_bytes, written
+from bazaarspark.llm.common import arrow, fresh, quoted, removed, some_bytes, written
 
 MIN_WORDS = 20
 CUTS = {
@@ -86,9 +86,13 @@ def repeats(docs: DataFrame, unit: str) -> DataFrame:
     rows = written(digests(docs, unit), "unit-digests")
     rank = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "tie", "place")
     first = rows.groupBy("hi", "lo").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-    first = first.filter("first <> last").select("hi", "lo", "first")
+    # A table of its own, so that the join can split what a frequent digest brings to one partition.
+    first = written(first.filter("first <> last").select("hi", "lo", "first"), "repeated-digests")
     later = rows.withColumn("rank", rank).join(first, ["hi", "lo"]).filter("rank > first")
-    return later.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    found = written(later.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("place")).alias("places")), "repeats")
+    removed(rows)
+    removed(first)
+    return found
 
 
 def removed_spans(text: str, places: list[int], unit: str, min_words: int) -> list[tuple[int, int]]:
