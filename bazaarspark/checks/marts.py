@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from bazaarspark.checks.framework import Check
 from bazaarspark.checks.sql_staging import AS_OF as SQL_AS_OF
 from bazaarspark.checks.sql_staging import using
@@ -76,6 +78,15 @@ def m6(s: Staging):
     return alerts.simple_alerts(m1(s), m4(s), AS_OF)
 
 
+# The marts as of a day in the middle of the data: later rows are there and must not count.
+PAST, SQL_PAST = dt.date(2000, 6, 30), "DATE '2000-06-30'"
+
+
+def as_of_past(name: str, columns: str, build, mart: str) -> Check:
+    sql = (using(mart) + f"SELECT * FROM {mart}").replace(SQL_AS_OF, SQL_PAST)
+    return Check(name, columns, build, sql)
+
+
 RECENT = f"date >= {SQL_AS_OF} - 30 AND date <= {SQL_AS_OF}"
 
 CHECKS = [
@@ -102,11 +113,27 @@ CHECKS = [
         lambda s: product.product_performance(s.items, s.orders, s.products, s.sku_map, AS_OF, fan_out=True),
         using("product_fanned") + "SELECT * FROM product_fanned",
     ),
+    as_of_past(
+        "m1c_daily_performance_past", f"d date; s platform; {DAILY_MEASURES}",
+        lambda s: daily.daily_performance(s.orders, s.ads, PAST), "daily_mart",
+    ),
+    as_of_past("m2c_shop_performance_past", SHOP_COLUMNS, lambda s: shop.shop_performance(s.orders, s.ads, PAST), "shop_mart"),
+    as_of_past(
+        "m3c_ads_channel_past", CHANNEL_COLUMNS,
+        lambda s: channel.ads_channel_performance(s.ads, s.sessions, s.traffic, PAST), "channel_mart",
+    ),
+    as_of_past("m4c_campaign_past", CAMPAIGN_COLUMNS, lambda s: campaign.campaign_performance(s.ads, PAST), "campaign_mart"),
+    as_of_past(
+        "m5c_product_past", PRODUCT_COLUMNS,
+        lambda s: product.product_performance(s.items, s.orders, s.products, s.sku_map, PAST), "product_mart",
+    ),
     Check(
         "m6_simple_alerts",
-        ALERT_COLUMNS + "; s status; m net_revenue total_ad_spend cpa",
-        lambda s: m6(s).select("*", "context.*"),
-        using("alerts") + "SELECT *, 'active' AS status FROM alerts",
+        ALERT_COLUMNS + "; s status alert_id created_at; m net_revenue total_ad_spend cpa",
+        lambda s: m6(s).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).select("*", "context.*"),
+        using("alerts")
+        + """SELECT *, 'active' AS status, '2001-08-01 00:00:00' AS created_at,
+  sha256(concat_ws('|', alert_type, platform, entity_type, entity_id, CAST(alert_date AS DATE))) AS alert_id FROM alerts""",
     ),
     Check(
         "v1_daily_performance_total",

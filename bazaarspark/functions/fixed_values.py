@@ -145,21 +145,20 @@ COSTED_ACTIONS = ("purchase", "complete_registration", "lead")
 # --- fixed values: web-analytics channel grouping, first match wins ---------------------------
 DIRECT_SOURCES = ("(direct)", "direct")
 DIRECT_MEDIUMS = ("(none)", "(not set)", "")
-MEDIUM_CHANNELS_BEFORE_SOCIAL = (
-    (("organic",), "Organic Search"),
-    (("cpc", "ppc", "paidsearch"), "Paid Search"),
-    (("display", "cpm", "banner"), "Display"),
-    (("paid_social", "paidsocial", "paid-social"), "Paid Social"),
-)
-SOCIAL_SOURCES = ("facebook", "instagram", "twitter", "linkedin", "tiktok", "youtube", "pinterest")
-MEDIUM_CHANNELS_AFTER_SOCIAL = (
-    (("email",), "Email"),
-    (("affiliate",), "Affiliates"),
-    (("referral",), "Referral"),
-    (("video",), "Video"),
-    (("audio",), "Audio"),
-    (("sms",), "SMS"),
-    (("push", "mobile", "notification"), "Mobile Push"),
+# Channel, its mediums, and the sources that make it the channel whatever the medium.
+CHANNELS = (
+    ("Organic Search", ("organic",), ()),
+    ("Paid Search", ("cpc", "ppc", "paidsearch"), ()),
+    ("Display", ("display", "cpm", "banner"), ()),
+    ("Paid Social", ("paid_social", "paidsocial", "paid-social"), ()),
+    ("Social", ("social",), ("facebook", "instagram", "twitter", "linkedin", "tiktok", "youtube", "pinterest")),
+    ("Email", ("email",), ()),
+    ("Affiliates", ("affiliate",), ()),
+    ("Referral", ("referral",), ()),
+    ("Video", ("video",), ()),
+    ("Audio", ("audio",), ()),
+    ("SMS", ("sms",), ()),
+    ("Mobile Push", ("push", "mobile", "notification"), ()),
 )
 
 # --- fixed values: currencies -----------------------------------------------------------------

@@ -37,11 +37,9 @@ def channel_grouping(source, medium) -> Column:
     source = F.trim(F.lower(F.coalesce(col(source), F.lit(""))))
     medium = F.trim(F.lower(F.coalesce(col(medium), F.lit(""))))
     group = F.when(source.isin(*fixed.DIRECT_SOURCES) & medium.isin(*fixed.DIRECT_MEDIUMS), "Direct")
-    for mediums, name in fixed.MEDIUM_CHANNELS_BEFORE_SOCIAL:
-        group = group.when(medium.isin(*mediums), name)
-    group = group.when((medium == "social") | source.isin(*fixed.SOCIAL_SOURCES), "Social")
-    for mediums, name in fixed.MEDIUM_CHANNELS_AFTER_SOCIAL:
-        group = group.when(medium.isin(*mediums), name)
+    for name, mediums, sources in fixed.CHANNELS:
+        here = medium.isin(*mediums)
+        group = group.when(here | source.isin(*sources) if sources else here, name)
     return group.otherwise("Other")
 
 

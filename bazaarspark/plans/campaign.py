@@ -10,7 +10,7 @@ from bazaarspark.functions.labels import campaign_class, optimization_flag
 from bazaarspark.functions.scalars import growth, ratio
 from bazaarspark.operators.periods import period_sum
 from bazaarspark.operators.rolling import rolling_days, rolling_rows
-from bazaarspark.plans.channel import SUMMED, distinct
+from bazaarspark.plans.channel import SUMMED, counted_once, distinct
 from bazaarspark.session import checkpointed
 
 LOOKBACK, RECENT = 90, 30
@@ -20,15 +20,14 @@ GRAIN = ("date", "platform", "account_id", "campaign_id", "campaign_name", "camp
 def campaign_days(ads: DataFrame, as_of, approximate_distinct: bool = False) -> DataFrame:
     """Daily sums per campaign, the base of everything below. Ad sets count as ad groups."""
     level = F.when(F.col("level") == "adset", "adgroup").otherwise(F.col("level"))
-    return (
-        ads.where(since_day("date", as_of, LOOKBACK) & level.isin("campaign", "ad", "adgroup"))
-        .groupBy(*GRAIN)
-        .agg(
+    recent = ads.where(since_day("date", as_of, LOOKBACK) & level.isin("campaign", "ad", "adgroup"))
+    if approximate_distinct:
+        return recent.groupBy(*GRAIN).agg(
             *[F.sum(c).alias(c) for c in SUMMED],
-            distinct("adgroup_id", approximate_distinct).alias("active_adgroups"),
-            distinct("ad_id", approximate_distinct).alias("active_ads"),
+            distinct("adgroup_id", True).alias("active_adgroups"),
+            distinct("ad_id", True).alias("active_ads"),
         )
-    )
+    return counted_once(recent, list(GRAIN), {"active_adgroups": "adgroup_id", "active_ads": "ad_id"})
 
 
 def benchmarks(days: DataFrame, as_of) -> DataFrame:

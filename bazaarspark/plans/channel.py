@@ -21,15 +21,26 @@ def distinct(c: str, approximate: bool):
 
 
 def ads_by_channel(ads: DataFrame, as_of, approximate: bool = False) -> DataFrame:
-    return (
-        ads.where(since_day("date", as_of, LOOKBACK))
-        .groupBy("date", "platform")
-        .agg(
+    recent = ads.where(since_day("date", as_of, LOOKBACK))
+    keys = ["date", "platform"]
+    if approximate:
+        return recent.groupBy(*keys).agg(
             *[F.sum(c).alias(c) for c in SUMMED],
-            distinct("campaign_id", approximate).alias("active_campaigns"),
-            distinct("ad_id", approximate).alias("active_ads"),
+            distinct("campaign_id", True).alias("active_campaigns"),
+            distinct("ad_id", True).alias("active_ads"),
         )
-    )
+    return counted_once(recent, keys, {"active_campaigns": "campaign_id", "active_ads": "ad_id"})
+
+
+def counted_once(ads: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
+    """Sums and exact distinct counts per group.
+
+    Several distinct counts make Spark expand its rows; so rows are reduced to the different combinations of the counted
+    columns first, and only those few are expanded.
+    """
+    inner = ads.groupBy(*keys, *counts.values()).agg(*[F.sum(c).alias(c) for c in SUMMED])
+    exact = [F.count_distinct(c).alias(name) for name, c in counts.items()]
+    return inner.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMMED], *exact)
 
 
 def sessions_by_channel(sessions: DataFrame, as_of) -> DataFrame:
