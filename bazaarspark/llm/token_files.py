@@ -37,7 +37,7 @@ FILE_IDS = 1 << 20  # ids after which a file is closed
 MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIIQII")  # magic, partition, segment, ids, documents, blocks
 REMEMBERED = 1_000_000  # distinct words a worker keeps
-MARKS = ".,"
+MARKS = ".,;:!?*%&$#|/()[]{}<>+-=~\""  # signs that no pattern joins to the letters before them
 
 # What the quick cut cannot handle: other white space, white space in runs or at an end, and the cut mark itself.
 SLOW = re.compile(r"[^\S \n]|\s\s|^\s|\s$|\x01")
