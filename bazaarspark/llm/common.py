@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 import uuid
 
@@ -70,7 +72,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
-def some_bytes(batches, column: str | int = "text", most: int = 16 << 20):
+def some_bytes(batches, column: str | int = "text", most: int = 4 << 20):
     """Slices of Arrow batches that hold about `most` bytes of text each (one text at least)."""
     for batch in batches:
         start, size = 0, 0
@@ -85,6 +87,16 @@ def some_bytes(batches, column: str | int = "text", most: int = 16 << 20):
             yield batch.slice(start)
 
 
+@contextlib.contextmanager
+def no_garbage():
+    """Work that makes no reference cycles, without the collector's walks through large caches."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

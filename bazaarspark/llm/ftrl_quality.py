@@ -24,7 +24,7 @@ WEIGHTS = 1 << 18
 SAMPLE = 6000  # labelled rows that are learnt from, at most
 EPOCHS = 3
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class Tokens:

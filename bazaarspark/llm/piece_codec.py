@@ -13,20 +13,20 @@ encoded whole; every input row gives one row, so repeated rows stay; an empty ta
 from __future__ import annotations
 
 import functools
-import gc
 import hashlib
 import heapq
 import itertools
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bazaarspark.llm.common import Remembered, arrow, some_bytes, texts_of
+from bazaarspark.llm.common import Remembered, arrow, no_garbage, some_bytes, texts_of
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-REMEMBERED = 900_000  # distinct segments a worker keeps
+REMEMBERED = 400_000  # distinct segments a worker keeps
 SHORT = 48  # characters up to which scanning a list beats a heap
 NONE = float("inf")
 
@@ -126,9 +126,10 @@ class Merger:
         """Ids of whole texts; what is new in this batch is held against the library."""
         known = self.known
         known.make_room()
-        cut = [self.segments(t) for t in texts]
-        new = known.missing(cut)
-        merged = [self.merged(s) for s in new]
+        with no_garbage():
+            cut = [self.segments(t) for t in texts]
+            new = known.missing(cut)
+            merged = [self.merged(s) for s in new]
         theirs = self.library.encode([s[1:] for s in new], num_threads=1) if new else []
         for s, mine, lib in zip(new, merged, theirs):
             # The library puts a mark before a text, unless that text is empty.
@@ -147,7 +148,6 @@ class Merger:
 
 @functools.lru_cache(maxsize=2)
 def merger(path: str) -> Merger:
-    gc.disable()  # nothing here makes reference cycles, and the remembered segments are many objects to traverse
     return Merger(path)
 
 
@@ -160,9 +160,11 @@ def with_pieces(docs: DataFrame, path: str, end_id: bool = True, key: str = "doc
         end = [coder.end] if end_id else []
         for batch in some_bytes(batches):
             ids = [x + end for x in coder.encode(texts_of(batch))]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield pa.record_batch(
-                [batch.column(key), pa.array(ids, pa.list_(pa.int32())), pa.array([coder.decode(x) for x in ids])],
-                [key, "ids", "decoded"],
+                [batch.column(key), lists, pa.array([coder.decode(x) for x in ids])], [key, "ids", "decoded"]
             )
 
     return arrow(docs.select(key, "text"), work, f"{key} {kind}, ids array<int>, decoded string")

@@ -16,7 +16,6 @@ columns are not read; an empty table makes an empty folder and no rows.
 from __future__ import annotations
 
 import functools
-import gc
 import json
 import re
 import struct
@@ -29,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import Remembered, arrow, some_bytes, texts_of, written
+from bazaarspark.llm.common import Remembered, arrow, no_garbage, some_bytes, texts_of, written
 
 BLOCK = 128
 PERCENTILE = 0.9
@@ -54,7 +53,6 @@ class ByteEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        gc.disable()  # nothing here makes reference cycles, and the remembered words are many objects to traverse
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
@@ -92,6 +90,10 @@ class ByteEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        with no_garbage():
+            return self.encoded(texts)
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
         known = self.known
         known.make_room()
         slow = SLOW.search

@@ -3,8 +3,9 @@
 A text is cut into units: sentences of its lines (`unit="sentence"`, so that a passage inside a longer line is found),
 lines, or paragraphs. A unit is normalised (lower case, words and numbers only) and digested to 128 bits. Digests are
 counted over all documents; of the occurrences of a digest the first by (doc_id, digest of the text, place) is kept and
-the others are repeats. A run of neighbouring repeats goes if it holds at least `min_words` words; shorter ones, such as
-a one-word sentence that any two texts may share, stay. What goes is returned as offsets into the original text.
+the others are repeats. A run of neighbouring repeats goes if its units of `LEAST` words or more hold at least `min_words`
+words together: short units, which any two texts may share, go with a passage but make none. What goes is returned as
+offsets into the original text.
 
 A frequent digest costs one small row in the counting, which is combined before the shuffle; its occurrences are spread
 by the join (Spark splits skewed join partitions), and none are gathered by digest.
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from bazaarspark.llm.common import arrow, fresh, quoted, removed, some_bytes, written
 
-MIN_WORDS = 20
+MIN_WORDS = 20  # words that a run of repeats must hold
+LEAST = 5  # words of a unit that counts towards them
 CUTS = {
     # A sentence ends at a line feed, or after a closing sign that white space follows.
     "sentence": re.compile(r"\n+|(?<=[.!?|*%&$#])[^\S\n]+"),
@@ -102,11 +104,12 @@ def removed_spans(text: str, places: list[int], unit: str, min_words: int) -> li
     last = None
     for p in places:
         start, end, words = found[p]
+        weight = len(words) if len(words) >= LEAST else 0
         if last is not None and p == last + 1:
             s, _, n = spans[-1]
-            spans[-1] = (s, end, n + len(words))
+            spans[-1] = (s, end, n + weight)
         else:
-            spans.append((start, end, len(words)))
+            spans.append((start, end, weight))
         last = p
     return [(s, e) for s, e, n in spans if n >= min_words]
 
