@@ -101,10 +101,13 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> list[tuple[str, int]]:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int, longest: int = 1 << 20
+) -> list[tuple[str, int]]:
     """At most `most` (text, label) pairs of labelled rows that `learn` allows, by a digest of their ids: bounded work.
 
-    Half the bound belongs to each class, so a rare class is not lost.
+    Half the bound belongs to each class, so a rare class is not lost. Texts of more than `longest` bytes are not learnt
+    from (they are scored like all others).
     """
     known = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learn)
@@ -117,7 +120,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         some = known.filter(F.col("label") == value).orderBy(*order).limit(most // 2)
         picked = some if picked is None else picked.union(some)
     # At most `most` small rows: a broadcast of proven size.
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.filter(F.octet_length("text") <= longest).join(F.broadcast(picked), "doc_id")
     rows = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "label").limit(most).collect()
     return [(r["text"], r["label"]) for r in rows]
 

@@ -232,6 +232,10 @@ def trained(rows: list[tuple[str, int]], seed: int = 11, group: int = 16) -> dic
     word_at = np.array([word_row(w) for w in numbers])
     flat, sizes = gram_rows(list(numbers))
     grams = np.split(flat, np.cumsum(sizes)[:-1])
+    # A rare class is shown as often as a third of the other.
+    for y in (0, 1):
+        few, rest = [d for d in docs if d[1] == y], sum(d[1] != y for d in docs)
+        docs += few * max(0, min(8, rest // (3 * len(few))) - 1)
     rng = np.random.default_rng(seed)
     epochs = min(24, max(2, -(-PASSES // len(docs))))
     for epoch in range(epochs):
