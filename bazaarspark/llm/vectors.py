@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import arrow, written
+from bazaarspark.llm.common import arrow, removed, written
 
 PIVOTS = 64  # rows that order the others: a bounded sample, which decides the order only
 
@@ -72,40 +72,53 @@ def near_together(rows: DataFrame, column: str, tie: str) -> DataFrame:
 
 
 def in_lists(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
-    """The rows of each partition in lists of `size`, one row for each list, numbered from 0 in `tile`; their number.
+    """The rows in lists of `size` in their present order, one row for each list, numbered from 0 in `tile`; their number.
 
-    Every column becomes an array. The lists are a written table, so their numbers are fixed.
+    Every column becomes an array. Rows are counted through all partitions, so small partitions make no small lists.
     """
     names = rows.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
-    def one(part: int, k: int, held: list):
-        t = pa.Table.from_batches(held)
-        columns = [t.column(c).combine_chunks() for c in names]
-        listed = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
-        places = [pa.array([part], pa.int32()), pa.array([k], pa.int32())]
-        return pa.record_batch([*places, *listed], ["_part", "_k", *names])
-
-    def work(batches):
-        part, k, held, n = TaskContext.get().partitionId(), 0, [], 0
+    def place(batches):
+        part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
-            while batch.num_rows:
-                some = batch.slice(0, size - n)
-                held.append(some)
-                n += some.num_rows
-                batch = batch.slice(some.num_rows)
-                if n == size:
-                    yield one(part, k, held)
-                    k, held, n = k + 1, [], 0
-        if held:
-            yield one(part, k, held)
-
-    fields = ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in rows.schema)
-    cut = written(arrow(rows, work, f"_part int, _k int, {fields}"), name)
-    # How many lists each partition has: as short as the list of partitions.
-    counts = sorted((r["_part"], r["n"]) for r in cut.groupBy("_part").agg(F.count("*").alias("n")).collect())
+            n = batch.num_rows
+            places = [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(k, k + n))]
+            yield pa.RecordBatch.from_arrays([*places, *batch.columns], ["_part", "_k", *names])
+            k += n
+
+    placed = written(arrow(rows, place, f"_part int, _k bigint, {fields}"), f"{name}-rows")
+    # How many rows each partition has: as short as the list of partitions.
+    counts = sorted((r["_part"], r["n"]) for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect())
     starts, total = [], 0
     for part, n in counts:
         starts += [F.lit(part), F.lit(total)]
         total += n
     first = F.create_map(*starts)[F.col("_part")] if starts else F.lit(0)
-    return cut.select((first + F.col("_k")).alias("tile"), *names), total
+    numbered = placed.select(((first + F.col("_k")) / size).cast("int").alias("tile"), (first + F.col("_k")).alias("_at"), *names)
+
+    def cut(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            tile = batch.column("tile").to_numpy()
+            edges = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), batch.num_rows]
+            for start, end in zip(edges, edges[1:]):
+                if held and held[0].column("tile")[0].as_py() != tile[start]:
+                    yield one(held)
+                    held = []
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield one(held)
+
+    def one(held: list):
+        t = pa.Table.from_batches(held)
+        columns = [t.column(c).combine_chunks() for c in names]
+        listed = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+        return pa.record_batch([pa.array([t.column("tile")[0].as_py()], pa.int32()), *listed], ["tile", *names])
+
+    lists = ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in rows.schema)
+    n_lists = -(-total // size)
+    ordered = numbered.repartition(max(1, n_lists), "tile").sortWithinPartitions("tile", "_at")
+    found = written(arrow(ordered, cut, f"tile int, {lists}"), name)
+    removed(placed)
+    return found, n_lists
