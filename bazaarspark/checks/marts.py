@@ -75,7 +75,7 @@ def m5(s: Staging):
 
 
 def m6(s: Staging):
-    return alerts.simple_alerts(m1(s), m4(s), AS_OF)
+    return alerts.simple_alerts(m1(s), m4(s), AS_OF, materialize=True)
 
 
 # The marts as of a day in the middle of the data: later rows are there and must not count.

@@ -9,6 +9,7 @@ from bazaarspark.functions.dates import as_date, as_instant, between_days, day,
 from bazaarspark.functions.fixed_values import SEVERITIES
 from bazaarspark.functions.scalars import number_text, ratio, severity_order, stable_id
 from bazaarspark.operators.periods import period_sum
+from bazaarspark.session import checkpointed
 
 ALERT_COLUMNS = (
     *("alert_id", "alert_type", "severity", "title", "message", "metric_name", "metric_value", "threshold"),
@@ -183,7 +184,10 @@ def finish(alerts: DataFrame, as_of) -> DataFrame:
     )
 
 
-def simple_alerts(daily: DataFrame, campaigns: DataFrame, as_of) -> DataFrame:
+def simple_alerts(daily: DataFrame, campaigns: DataFrame, as_of, materialize: bool = False) -> DataFrame:
+    """All alerts. Two branches read the daily mart: `materialize=True` checkpoints one that is still a plan."""
+    if materialize:
+        daily = checkpointed(daily)
     branches = daily_alerts(daily, as_of).unionByName(revenue_alerts(daily, as_of))
     return finish(branches.unionByName(campaign_alerts(campaigns, as_of)), as_of)
 
