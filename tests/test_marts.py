@@ -113,7 +113,7 @@ def test_totals_are_sums_of_parts(spark):
     mart = daily.daily_performance(s.orders, s.ads, AS_OF, additive=True)
     total = mart.groupBy().sum("total_orders", "total_ad_spend").collect()[0]
     recent_orders = s.orders.where(f"order_date >= timestamp'{AS_OF - dt.timedelta(days=90)}'").count()
-    spend = s.ads.where(f"date >= date'{AS_OF - dt.timedelta(days=90)}'").groupBy().sum("spend").collect()[0][0]
+    spend = s.ads.where(f"date between date'{AS_OF - dt.timedelta(days=90)}' and date'{AS_OF}'").groupBy().sum("spend").collect()[0][0]
     assert total[0] == recent_orders and total[1] == pytest.approx(spend)
 
 
