@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.checks.staging import AS_OF, PROPERTY, Staging, code
+from bazaarspark.checks.staging import PROPERTY, Staging, code
 from bazaarspark.sources.landing import from_text, stitch_details
 
 
@@ -169,7 +169,7 @@ def landed_orders(s: Staging, named: bool = True) -> DataFrame:
 
 
 def landed_ads(s: Staging) -> DataFrame:
-    """One report record per line item shipped by the as-of date, in the shape of its platform."""
+    """One report record per line item, in the shape of its platform."""
     sup, part = F.col("l_suppkey"), F.col("l_partkey")
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     number = F.concat_ws("-", text("l_orderkey"), text("l_linenumber"), text(part), text(sup))
