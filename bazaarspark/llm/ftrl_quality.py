@@ -24,11 +24,11 @@ WEIGHTS = 1 << 18
 SAMPLE = 6000  # labelled rows that are learnt from, at most
 EPOCHS = 3
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 class Tokens:
-    """Token digests, remembered by worker."""
+    """Token digests, remembered for the length of a task."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
@@ -48,12 +48,9 @@ class Tokens:
         return np.array(found, np.uint64)
 
 
-TOKENS = Tokens()
-
-
-def features(text: str) -> np.ndarray:
+def features(text: str, tokens: Tokens) -> np.ndarray:
     """Weight numbers of the text's one- and two-token sequences, repeats included. Number 0 is the bias."""
-    d = TOKENS.digests(text)
+    d = tokens.digests(text)
     if not len(d):
         return np.zeros(0, np.int64)
     pairs = (d[:-1] * np.uint64(0x9E3779B97F4A7C15) + d[1:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40)
@@ -88,9 +85,9 @@ def trained(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
         out = np.zeros(WEIGHTS)
         out[0] = np.log((total + 1) / (len(rows) - total + 1))
         return out.astype(np.float32)
-    vectors = []
+    vectors, tokens = [], Tokens()
     for text, y in rows:
-        f = features(text)
+        f = features(text, tokens)
         at, counts = np.unique(f, return_counts=True)
         vectors.append((np.append(at, 0), np.append(counts / np.sqrt(max(1, len(f))), 1.0), y))
     model, rng = Ftrl(), np.random.default_rng(seed)
@@ -100,8 +97,9 @@ def trained(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 7) ->
     return model.weights().astype(np.float32)
 
 
-def scores(texts: list[str], weights: np.ndarray) -> np.ndarray:
-    found = [features(t) for t in texts]
+def scores(texts: list[str], weights: np.ndarray, tokens: Tokens | None = None) -> np.ndarray:
+    tokens = Tokens() if tokens is None else tokens
+    found = [features(t, tokens) for t in texts]
     dots = np.array([weights[f].sum(dtype=np.float64) / np.sqrt(max(1, len(f))) for f in found]) + weights[0]
     return 1 / (1 + np.exp(-np.clip(dots, -35, 35)))
 
@@ -111,8 +109,9 @@ def scored(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
     def work(batches):
+        tokens = Tokens()
         for batch in some_bytes(batches):
-            found = scores(texts_of(batch), shared.value)
+            found = scores(texts_of(batch), shared.value, tokens)
             yield pa.record_batch([*(batch.column(k) for k in keep), pa.array(found)], [*keep, "quality_score"])
 
     schema = ", ".join(f"{quoted(k)} {docs.schema[k].dataType.simpleString()}" for k in keep)
@@ -146,8 +145,9 @@ def kept_by_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
     at = names.index("text")
 
     def work(batches):
+        tokens = Tokens()
         for batch in some_bytes(batches):
             texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(scores(texts, shared.value) >= threshold))
+            yield batch.filter(pa.array(scores(texts, shared.value, tokens) >= threshold))
 
     return arrow(docs, work, docs.schema)

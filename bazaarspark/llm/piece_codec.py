@@ -32,7 +32,7 @@ NONE = float("inf")
 
 
 class Merger:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -50,7 +50,7 @@ class Merger:
             self.surface[i] = names[i].replace(MARK, " ").encode()
         for b, i in self.bytes.items():
             self.surface[i] = bytes([b])
-        self.known = Remembered(REMEMBERED)
+        self.known = Remembered(remembered)
 
     def merged(self, segment: str) -> tuple[int, ...]:
         """Ids of one segment by the agenda: a plain list of scores when it is short, a heap when it is long."""
@@ -147,16 +147,21 @@ class Merger:
 
 
 @functools.lru_cache(maxsize=2)
-def merger(path: str) -> Merger:
-    return Merger(path)
+def merger(path: str, remembered: int = REMEMBERED) -> Merger:
+    return Merger(path, remembered)
 
 
-def with_pieces(docs: DataFrame, path: str, end_id: bool = True, key: str = "doc_id") -> DataFrame:
-    """(key, ids, decoded) of every whole text: the ids with the end id, and the text those ids decode to."""
+def with_pieces(
+    docs: DataFrame, path: str, end_id: bool = True, key: str = "doc_id", remembered: int = REMEMBERED
+) -> DataFrame:
+    """(key, ids, decoded) of every whole text: the ids with the end id, and the text those ids decode to.
+
+    A worker remembers the ids of `remembered` segments: less memory for more work.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batches):
-        coder = merger(path)
+        coder = merger(path, remembered)
         end = [coder.end] if end_id else []
         for batch in some_bytes(batches):
             ids = [x + end for x in coder.encode(texts_of(batch))]

@@ -45,7 +45,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the text that the ids decode to."""
-    found = with_pieces(docs, PIECES)
+    found = with_pieces(docs, PIECES, remembered=100_000)  # what the stages before have left in memory comes on top
     return found.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 
