@@ -5,14 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarspark.llm import block_search, extendible_shards
+from bazaarspark.llm import block_search, extendible_shards, tile_neighbours
 from bazaarspark.llm.common import shared_folder, table
 from bazaarspark.llm.cube_mixing import mixing_plan
 from bazaarspark.llm.ftrl_quality import quality_scores
 from bazaarspark.llm.gated_toxicity import toxicity_scores
 from bazaarspark.llm.piece_codec import piece_digests
 from bazaarspark.llm.registry import Query
-from bazaarspark.llm.tile_neighbours import neighbour_classes
 from bazaarspark.llm.token_files import token_digests, write_tokens
 from bazaarspark.llm.unit_dedup import unit_spans
 from bazaarspark.llm.wildcard_simhash import simhash_digest
@@ -30,7 +29,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbour_classes(table(spark, folder, "embeddings"))
+    return tile_neighbours.neighbour_classes(table(spark, folder, "embeddings"))
 
 
 def op4(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,7 +65,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": Query(op1),
     "op2_unit_dedup": Query(op2),
-    "op3_embedding_neighbours": Query(op3),
+    "op3_embedding_neighbours": Query(op3, tile_neighbours.SQL),
     "op4_simhash": Query(op4),
     "op5_sharding": Query(op5, extendible_shards.SQL),
     "op6_exact_top_k": Query(op6, block_search.SQL),

@@ -175,3 +175,25 @@ def neighbour_classes(vectors: DataFrame, threshold: float = THRESHOLD, tile: in
     alone = rows.filter(~(usable() & F.coalesce(nonzero, F.lit(False))))
     alone = alone.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return placed.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+SQL = """
+WITH RECURSIVE fit AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM fit a JOIN fit b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+    SELECT vec_id AS node, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+), grouped AS (
+    SELECT node, min(other) AS component_id FROM reached GROUP BY node
+)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN grouped ON node = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = e.vec_id
+"""
