@@ -102,6 +102,30 @@ def padded(tile: dict, dim: int) -> dict:
     return tile | wide | {"centre": np.pad(tile["centre"], (0, more))}
 
 
+def found(one: dict, two: dict, same: bool, threshold: float) -> pa.RecordBatch:
+    """Link counts of the rows of two tiles (or of one) and a spanning forest of their links."""
+    dim = max(one["x"].shape[1], two["x"].shape[1])
+    one, two = padded(one, dim), padded(two, dim)
+    n, m = len(one["ids"]), len(two["ids"])
+    shift = 0 if same else n
+    label, links = np.arange(n if same else n + m), np.zeros(n if same else n + m, np.int64)
+    for i, j in tile_links(one, two, same, threshold):
+        np.add.at(links, i, two["copies"][j])
+        np.add.at(links, shift + j, one["copies"][i])
+        if (label[i] != label[shift + j]).any():
+            # In this order: labels stay roots, so the next part's links join whole trees.
+            label = roots(len(label), label[i], label[shift + j])[label]
+    ids = one["ids"] if same else np.concatenate([one["ids"], two["ids"]])
+    counted, moved = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(label)))
+    node = np.concatenate([ids[counted], ids[moved]])
+    other = pa.array(
+        np.concatenate([np.zeros(len(counted), np.int64), ids[label[moved]]]),
+        mask=np.arange(len(node)) < len(counted),
+    )
+    n_links = np.concatenate([links[counted], np.zeros(len(moved), np.int64)])
+    return pa.record_batch([pa.array(node), other, pa.array(n_links)], ["node", "other", "links"])
+
+
 def met(cut: DataFrame, total: int, threshold: float) -> DataFrame:
     """(node, other, links): link counts of nodes (other is null) and edges between them, from all pairs of tiles."""
     other = F.explode(F.sequence(F.lit(0), F.lit(max(0, total - 1)))).alias("other")
@@ -119,34 +143,13 @@ def met(cut: DataFrame, total: int, threshold: float) -> DataFrame:
                 lists = [batch.column(c)[k].values for c in ("node", "copies", "embedding")]
                 this = described(lists[0].to_numpy(), lists[1].to_numpy(), lists[2])
                 if a == b:
-                    yield found(this, this, True)
+                    yield found(this, this, True, threshold)
                 elif tile == a:
                     first = this
                 else:
-                    yield found(first, this, False)
+                    yield found(first, this, False, threshold)
                     first = None
 
-    def found(one: dict, two: dict, same: bool):
-        dim = max(one["x"].shape[1], two["x"].shape[1])
-        one, two = padded(one, dim), padded(two, dim)
-        n, m = len(one["ids"]), len(two["ids"])
-        shift = 0 if same else n
-        label, links = np.arange(n if same else n + m), np.zeros(n if same else n + m, np.int64)
-        for i, j in tile_links(one, two, same, threshold):
-            np.add.at(links, i, two["copies"][j])
-            np.add.at(links, shift + j, one["copies"][i])
-            if (label[i] != label[shift + j]).any():
-                label = label[roots(len(label), label[i], label[shift + j])]
-        ids = one["ids"] if same else np.concatenate([one["ids"], two["ids"]])
-        counted, moved = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(label)))
-        node = np.concatenate([ids[counted], ids[moved]])
-        other = pa.array(
-            np.concatenate([np.zeros(len(counted), np.int64), ids[label[moved]]]),
-            mask=np.arange(len(node)) < len(counted),
-        )
-        n_links = np.concatenate([links[counted], np.zeros(len(moved), np.int64)])
-        return pa.record_batch([pa.array(node), other, pa.array(n_links)], ["node", "other", "links"])
-
     return arrow(placed, work, "node bigint, other bigint, links bigint")
 
 
