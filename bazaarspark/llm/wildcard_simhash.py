@@ -100,25 +100,28 @@ def dealt(rows: DataFrame, tile: int = TILE) -> DataFrame:
     return rows.select("key", F.least("block", "other").alias("tile_a"), F.greatest("block", "other").alias("tile_b"), "fp")
 
 
+def links(group: np.ndarray, fp: np.ndarray, distance: int) -> pa.RecordBatch:
+    """Edges (a, b) that span the links within each group; groups stand together."""
+    n = len(fp)
+    label = np.arange(n)
+    at, step = np.arange(n - 1), 1
+    while len(at):
+        at = at[at + step < n]
+        at = at[group[at] == group[at + step]]
+        near = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= distance]
+        if len(near) and (label[near] != label[near + step]).any():
+            # In this order: labels stay roots, so the next offset's links join whole trees.
+            label = roots(n, label[near], label[near + step])[label]
+        step += 1
+    moved = np.flatnonzero(label != np.arange(n))
+    return pa.record_batch(
+        [pa.array(fp[label[moved]].view(np.int64)), pa.array(fp[moved].view(np.int64))], ["a", "b"]
+    )
+
+
 def linked(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) that span the links among the rows of each tile; rows of a tile stand together, in order."""
 
-    def links(group: np.ndarray, fp: np.ndarray):
-        n = len(fp)
-        label = np.arange(n)
-        at, step = np.arange(n - 1), 1
-        while len(at):
-            at = at[at + step < n]
-            at = at[group[at] == group[at + step]]
-            near = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= distance]
-            if len(near) and (label[near] != label[near + step]).any():
-                label = label[roots(n, label[near], label[near + step])]
-            step += 1
-        moved = np.flatnonzero(label != np.arange(n))
-        return pa.record_batch(
-            [pa.array(fp[label[moved]].view(np.int64)), pa.array(fp[moved].view(np.int64))], ["a", "b"]
-        )
-
     def work(batches):
         held = None
         for batch in batches:
@@ -134,7 +137,7 @@ def linked(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     def found(rows: np.ndarray):
         new = np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)]
-        return links(np.cumsum(new), rows[:, 3].astype(np.int64).view(np.uint64))
+        return links(np.cumsum(new), rows[:, 3].astype(np.int64).view(np.uint64), distance)
 
     ordered = rows.repartition("key", "tile_a", "tile_b").sortWithinPartitions("key", "tile_a", "tile_b", "fp")
     return arrow(ordered, work, "a bigint, b bigint")
