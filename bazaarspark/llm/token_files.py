@@ -46,15 +46,14 @@ class ByteEncoder:
     """Whole texts to ids with the tokenizers library.
 
     A byte-level pre-tokenizer never joins a word to the space that follows it, so a text is cut before single spaces
-    and around single line feeds; the library encodes each distinct word of a worker once. Other texts, and other
-    kinds of tokenizers, are encoded whole.
+    and around single line feeds; the library encodes each distinct word of a worker once. Other texts, those that hold
+    the string of an added token (the library gives its id), and other kinds of tokenizers, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec.get("pre_tokenizer") or {}
@@ -64,6 +63,10 @@ class ByteEncoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space", True)
         )
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
+        self.slow = re.compile("|".join([SLOW.pattern, *map(re.escape, added)]))
+        # A word that is cut off could be part of an added token with white space.
+        self.cuts = self.cuts and not any(re.search(r"\s", t) for t in added)
         feed = self.library.encode("\n", add_special_tokens=False).ids
         self.cuts = self.cuts and len(feed) == 1
         self.feed = feed[0]
@@ -96,7 +99,7 @@ class ByteEncoder:
     def encoded(self, texts: list[str]) -> list[bytes]:
         known = self.known
         known.make_room()
-        slow = SLOW.search
+        slow = self.slow.search
         cut = [
             t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01") if self.cuts and not slow(t) else None
             for t in texts

@@ -103,3 +103,22 @@ def test_files_hold_the_documents(spark, file_ids):
     none = shared_folder(spark, "tokens")
     token_files.write_tokens(empty_docs(spark), BYTES, none)
     assert token_files.token_digests(spark, none).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "a", " ", "\n", "wizards", ".", "é"]), max_size=12).map("".join))
+def test_strings_of_added_tokens_equal_library(text):
+    got = np.frombuffer(token_files.byte_encoder(BYTES).encode([text])[0], "<u4").tolist()
+    assert got == Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids
+
+
+def test_files_of_texts_with_added_tokens(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "plain words"), (4, "wizards<|endoftext|>\nmix <|endoftext|")]
+    folder = shared_folder(spark, "tokens")
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), BYTES, folder)
+    library, want, start = Tokenizer.from_file(BYTES), [], 0
+    for doc_id, text in rows:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        want.append((doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    assert rows_of(token_files.token_digests(spark, folder)) == want
