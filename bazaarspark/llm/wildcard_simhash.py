@@ -174,6 +174,7 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE)
         F.xxhash64("text").alias("tie"),
     )
     found = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
-    # Repeated rows are one document.
-    found = found.groupBy("_id", "_tie").agg(F.first("_row").alias("_row"))
+    # Repeated rows are one document; where other columns differ, the first of them by their values is it.
+    others = F.to_json(F.struct(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns if c != "text")))
+    found = found.groupBy("_id", "_tie").agg(F.min_by("_row", others).alias("_row"))
     return found.select(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import table
+from bazaarspark.llm.common import table, written
 from bazaarspark.llm.cube_mixing import mixed
 from bazaarspark.llm.ftrl_quality import kept_by_quality
 from bazaarspark.llm.piece_codec import with_pieces
@@ -62,7 +62,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's result is written and read again: a stage that reads its input twice reads the same rows."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = written(stage(spark, docs, sf_dir), "stage")
     return docs
