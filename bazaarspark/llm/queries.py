@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarspark.llm import block_search, conversation_trie, extendible_shards, tile_neighbours, wavelet_fim
+from bazaarspark.llm import block_search, conversation_trie, extendible_shards, run_index_dedup, tile_neighbours, wavelet_fim
 from bazaarspark.llm.common import shared_folder, table
 from bazaarspark.llm.cube_mixing import mixing_plan
 from bazaarspark.llm.ftrl_quality import quality_scores
@@ -66,6 +66,10 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.conversation_trie(table(spark, folder, "conversations"), share_starts=True)
 
 
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return run_index_dedup.repeat_digests(table(spark, folder, "documents"))
+
+
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet_fim.fim_digests(table(spark, folder, "documents"))
 
@@ -82,5 +86,6 @@ QUERIES = {
     "op9_source_mixing": Query(op9),
     "op10_quality": Query(op10),
     "op11_conversation_trie": Query(op11, conversation_trie.SQL),
+    "op12_run_index_dedup": Query(op12, run_index_dedup.SQL),
     "op13_fill_in_middle": Query(op13, wavelet_fim.SQL),
 }
