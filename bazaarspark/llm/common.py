@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import uuid
@@ -29,9 +30,49 @@ def importable(spark: SparkSession) -> None:
 
 
 def arrow(df: DataFrame, work, schema: str) -> DataFrame:
-    """`df.mapInArrow` with workers that can import this package."""
+    """`df.mapInArrow` with workers that can import this package and keep little between tasks."""
     importable(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(released(work), schema)
+
+
+_kept: dict = {}  # in a worker: the table that its work needs again in its next task
+
+
+def kept(make, *args):
+    """`make(*args)`, kept for the next task of this worker until it is given other work."""
+    key = (make, args)
+    if key not in _kept:
+        _kept[key] = make(*args)
+    return _kept[key]
+
+
+def released(work):
+    """`work` for workers that are used again: what other work has kept goes before it, freed memory goes back after it."""
+    owner = f"{work.__module__}.{work.__qualname__}"
+
+    def run(batches):
+        begin(owner)
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def begin(owner: str) -> None:
+    if _kept.get("owner") != owner:
+        _kept.clear()
+        _kept["owner"] = owner
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -12,7 +12,6 @@ encoded whole; every input row gives one row, so repeated rows stay; an empty ta
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import itertools
@@ -22,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bazaarspark.llm.common import Remembered, arrow, no_garbage, some_bytes, texts_of
+from bazaarspark.llm.common import Remembered, arrow, kept, no_garbage, some_bytes, texts_of
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -146,9 +145,8 @@ class Merger:
         return raw.decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def merger(path: str, remembered: int = REMEMBERED) -> Merger:
-    return Merger(path, remembered)
+    return kept(Merger, path, remembered)
 
 
 def with_pieces(

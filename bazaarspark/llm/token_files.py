@@ -15,7 +15,6 @@ columns are not read; an empty table makes an empty folder and no rows.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import struct
@@ -24,22 +23,27 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import Remembered, arrow, no_garbage, some_bytes, texts_of, written
+from bazaarspark.llm.common import arrow, kept, no_garbage, some_bytes, texts_of, written
 
 BLOCK = 128
 PERCENTILE = 0.9
 FILE_IDS = 1 << 20  # ids after which a file is closed
 MAGIC = b"PFR1"
 HEADER = struct.Struct("<4sIIQII")  # magic, partition, segment, ids, documents, blocks
-REMEMBERED = 1_000_000  # distinct words a worker keeps
+REMEMBERED = 1_000_000  # distinct words a worker keeps, about
+SLICE = 8 << 20  # bytes of text that are cut together
 MARKS = ".,;:!?*%&$#|/()[]{}<>+-=~\""  # signs that no pattern joins to the letters before them
 
 # What the quick cut cannot handle: other white space, white space in runs or at an end, and the cut mark itself.
-SLOW = re.compile(r"[^\S \n]|\s\s|^\s|\s$|\x01")
+ODD = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\x01]")
+RUNS = ("  ", " \n", "\n ", "\n\n")
+ENDING = f"(?P<marks>[{re.escape(MARKS)}]+)$"
+SPACES = (" ", "\n", "")  # of a first or last character; an empty text has none
 
 
 class ByteEncoder:
@@ -64,61 +68,133 @@ class ByteEncoder:
             and not before.get("add_prefix_space", True)
         )
         added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
-        self.slow = re.compile("|".join([SLOW.pattern, *map(re.escape, added)]))
+        self.whole = (*RUNS, *added)
         # A word that is cut off could be part of an added token with white space.
         self.cuts = self.cuts and not any(re.search(r"\s", t) for t in added)
         feed = self.library.encode("\n", add_special_tokens=False).ids
         self.cuts = self.cuts and len(feed) == 1
         self.feed = feed[0]
-        self.known = Remembered(REMEMBERED, {"\n": array("I", feed).tobytes(), "": b""})
+        self.known, self.remembered = KnownWords(["\n", ""], [feed, []]), REMEMBERED
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [array("I", e.ids).tobytes() for e in found]
 
-    def word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of cut words: many of them as one text, which is cheaper than a text for each.
+    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of cut words in a row, and how many each word has: many words as one text, which costs less.
 
         A line feed stands before each word. No word holds one or is ever joined to one, so its id marks the words.
         """
-        out: list[bytes] = []
-        for i in range(0, len(words), 4096):
-            some = words[i : i + 4096]
-            found = self.library.encode_batch_fast(["\n" + "\n".join(some)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, "<u4")
-            marks = np.flatnonzero(ids == self.feed)
-            raw, first, last = ids.tobytes(), (4 * marks + 4).tolist(), (4 * marks[1:]).tolist() + [4 * len(ids)]
-            out += [raw[a:b] for a, b in zip(first, last)]
-        return out
+        parts = [np.zeros(0, np.uint32)]
+        for i in range(0, len(words), 128):  # the library is quickest with short texts like these
+            found = self.library.encode_batch_fast(["\n" + "\n".join(words[i : i + 128])], add_special_tokens=False)
+            parts.append(np.array(found[0].ids, np.uint32))
+        ids = np.concatenate(parts)
+        marks = np.flatnonzero(ids == self.feed)
+        return ids[ids != self.feed], np.diff(np.append(marks, len(ids))) - 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        ids, lengths = self.encoded(texts)
+        ends = np.cumsum(lengths).tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+
+    def quick(self, text: str) -> bool:
+        """Whether the text can be cut into words."""
+        if not self.cuts or ODD.search(text) or text[:1] in SPACES or text[-1:] in SPACES:
+            return not text and self.cuts
+        return not any(x in text for x in self.whole)
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has."""
         with no_garbage():
-            return self.encoded(texts)
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
+            quick = np.fromiter(map(self.quick, texts), bool, len(texts))
+            ids, counts = self.cut_ids([t for t, q in zip(texts, quick) if q])
+            if quick.all():
+                return ids, counts
+            others = self.library_ids([t for t, q in zip(texts, quick) if not q])
+        lengths = np.zeros(len(texts), np.int64)
+        lengths[quick], lengths[~quick] = counts, [len(x) // 4 for x in others]
+        out, cut = np.empty(int(lengths.sum()), "<u4"), np.repeat(quick, lengths)
+        out[cut], out[~cut] = ids, np.frombuffer(b"".join(others), "<u4")
+        return out, lengths
+
+    def cut_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As `encoded`, of texts that are cut into words; Arrow cuts them and numbers the different words."""
+        cut = pc.replace_substring(pa.array(texts, pa.string()), " ", "\x01 ")
+        cut = pc.split_pattern(pc.replace_substring(cut, "\n", "\x01\n\x01"), "\x01")
+        words = cut.flatten().dictionary_encode()
         known = self.known
-        known.make_room()
-        slow = self.slow.search
-        cut = [
-            t.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01") if self.cuts and not slow(t) else None
-            for t in texts
-        ]
-        new = known.missing(words for words in cut if words is not None)
+        known.make_room(self.remembered)
+        at = self.numbers(words.dictionary)
+        known.recent = at
+        ids, counts = known.ids(at[words.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(counts)])[cut.offsets.to_numpy()]
+        return ids, np.diff(ends)
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers in the table of known words of different words; new words are learnt."""
+        found = pc.index_in(words, value_set=self.known.words)
+        new = pc.is_null(found).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+        if new.any():
+            at[new] = self.learnt(words.filter(pa.array(new)))
+        return at
+
+    def learnt(self, words: pa.Array) -> np.ndarray:
         # Marks behind a letter or digit are cut off as well: the pre-tokenizer always does.
-        ends = [(w, base, w[len(base) :]) for w in new if (base := w.rstrip(MARKS)) != w and base[-1:].isalnum()]
-        cut_off = {w for w, _, _ in ends}
-        more = known.missing([[w for w in new if w not in cut_off], (b for _, b, _ in ends), (e for _, _, e in ends)])
-        known.update(zip(more, self.word_ids(more)))
-        known.update((w, known[base] + known[end]) for w, base, end in ends)
-        whole = iter(self.library_ids([t for t, words in zip(texts, cut) if words is None]))
-        ids = known.__getitem__
-        return [next(whole) if words is None else b"".join(map(ids, words)) for words in cut]
+        base = pc.utf8_rtrim(words, MARKS)
+        ended = pc.and_(
+            pc.less(pc.binary_length(base), pc.binary_length(words)), pc.utf8_is_alnum(pc.utf8_slice_codeunits(base, -1))
+        ).to_numpy(zero_copy_only=False)
+        at = np.zeros(len(words), np.int64)
+        whole = words.filter(pa.array(~ended))
+        at[~ended] = self.known.add(whole, *self.word_ids(whole.to_pylist()))
+        if ended.any():
+            words, base = words.filter(pa.array(ended)), base.filter(pa.array(ended))
+            marks = pc.struct_field(pc.extract_regex(words, ENDING), 0)
+            parts = pa.concat_arrays([base, marks]).dictionary_encode()
+            both = self.numbers(parts.dictionary)[parts.indices.to_numpy()].reshape(2, -1).T
+            ids, counts = self.known.ids(both.reshape(-1))
+            at[ended] = self.known.add(words, ids, counts.reshape(-1, 2).sum(axis=1))
+        return at
+
+
+class KnownWords:
+    """Words with their ids, in Arrow and numpy arrays; a word is known by its number."""
+
+    def __init__(self, words: list[str], ids: list[list[int]]):
+        self.words = pa.array(words, pa.string())
+        self.values = np.array([i for x in ids for i in x], np.uint32)
+        self.ends = np.cumsum([0, *map(len, ids)])
+        self.always = len(words)
+        self.recent = np.arange(0)  # of the words used last
+
+    def add(self, words: pa.Array, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The numbers of words that are added with `counts` of the ids each."""
+        first = len(self.words)
+        self.words = pa.concat_arrays([self.words, words])
+        self.values = np.concatenate([self.values, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        return np.arange(first, first + len(words))
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words with these numbers in a row, and how many each has."""
+        lists = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.values))
+        return lists.take(pa.array(at)).flatten().to_numpy(), (self.ends[1:] - self.ends[:-1])[at]
+
+    def make_room(self, most: int) -> None:
+        """If more than `most` words are known, only those of the last texts stay."""
+        if len(self.words) > most:
+            kept = np.union1d(np.arange(self.always), self.recent)
+            self.values, counts = self.ids(kept)
+            self.words = self.words.take(pa.array(kept))
+            self.ends = np.concatenate([[0], np.cumsum(counts)])
+            self.recent = np.arange(len(kept))
 
 
-@functools.lru_cache(maxsize=2)
 def byte_encoder(path: str) -> ByteEncoder:
-    return ByteEncoder(path)
+    return kept(ByteEncoder, path)
 
 
 def packed(values: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -179,9 +255,14 @@ def unpacked(body: bytes, starts: np.ndarray, n: int) -> np.ndarray:
     for w in np.unique(width):
         if w:
             at = np.flatnonzero(width == w)
-            rows = raw[packed_at[at][:, None] + np.arange(int(w) * BLOCK // 8)]
-            bits = np.unpackbits(rows, axis=1, bitorder="little").reshape(len(at), BLOCK, int(w))
-            out[at] = bits @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
+            # A value lies within the five bytes from the one its first bit is in.
+            bit = np.arange(BLOCK) * int(w)
+            rows = np.zeros((len(at), BLOCK * int(w) // 8 + 4), np.uint8)
+            rows[:, :-4] = raw[packed_at[at][:, None] + np.arange(BLOCK * int(w) // 8)]
+            values = rows[:, bit >> 3].astype(np.uint64)
+            for k in range(1, 2 if w <= 9 else 3 if w <= 17 else 5):
+                values |= rows[:, (bit >> 3) + k].astype(np.uint64) << np.uint64(8 * k)
+            out[at] = (values >> (bit & 7).astype(np.uint64)) & np.uint64((1 << int(w)) - 1)
     block = np.repeat(np.arange(len(starts)), exceptions)
     rank = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
     values_at = starts[block] + 6 + exceptions[block] + 4 * rank
@@ -190,14 +271,12 @@ def unpacked(body: bytes, starts: np.ndarray, n: int) -> np.ndarray:
     return (out + least[:, None]).reshape(-1)[:n]
 
 
-def file_of(partition: int, segment: int, keys: list, ids: list[bytes]) -> bytes:
-    values = np.frombuffer(b"".join(ids), "<u4")
+def file_of(partition: int, segment: int, keys: list, lengths: np.ndarray, values: np.ndarray) -> bytes:
     body, starts = packed(values)
-    lengths = np.array([len(x) // 4 for x in ids], "<u4")
     numbers = np.array([0 if k is None else k for k in keys], "<i8")
     nulls = np.array([k is None for k in keys], np.uint8)
     head = HEADER.pack(MAGIC, partition, segment, len(values), len(keys), len(starts))
-    return b"".join([head, numbers.tobytes(), nulls.tobytes(), lengths.tobytes(), starts.tobytes(), body])
+    return b"".join([head, numbers.tobytes(), nulls.tobytes(), lengths.astype("<u4").tobytes(), starts.tobytes(), body])
 
 
 def parsed(content: bytes):
@@ -219,18 +298,32 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = 0, fil
     """Encode every whole text and write the files, in ascending doc_id order, into a new folder."""
 
     def work(batches):
-        coder, tail = byte_encoder(tokenizer), struct.pack("<I", end)
-        partition, segment, keys, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
-        for batch in some_bytes(batches):
-            for key, x in zip(batch.column("doc_id").to_pylist(), coder.encode(texts_of(batch))):
-                keys.append(key)
-                ids.append(x + tail)
-                held += len(x) // 4 + 1
+        coder, partition, segment = byte_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        keys, lengths, values, held = [], [], [], 0
+
+        def closed():
+            file = file_of(partition, segment, keys, np.concatenate(lengths), np.concatenate(values))
+            return pa.record_batch([pa.array([file])], ["value"])
+
+        for batch in some_bytes(batches, most=SLICE):
+            names = batch.column("doc_id").to_pylist()
+            ids, counts = coder.encoded(texts_of(batch))
+            ids, counts = np.insert(ids, np.cumsum(counts), end), counts + 1
+            ends, done, at = np.cumsum(counts), 0, 0  # documents and ids that are in a file or held
+            while done < len(names):
+                # A file ends with the document that fills it.
+                full = int(np.searchsorted(ends, at + file_ids - held))
+                last = min(full + 1, len(names))
+                stop = int(ends[last - 1])
+                keys += names[done:last]
+                lengths.append(counts[done:last])
+                values.append(ids[at:stop])
+                held, done, at = held + stop - at, last, stop
                 if held >= file_ids:
-                    yield pa.record_batch([pa.array([file_of(partition, segment, keys, ids)])], ["value"])
-                    segment, keys, ids, held = segment + 1, [], [], 0
+                    yield closed()
+                    segment, keys, lengths, values, held = segment + 1, [], [], [], 0
         if keys:
-            yield pa.record_batch([pa.array([file_of(partition, segment, keys, ids)])], ["value"])
+            yield closed()
 
     order = ("doc_id", "tie", "text")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
