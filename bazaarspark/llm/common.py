@@ -143,12 +143,18 @@ def quoted(name: str) -> str:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int, longest: int = 1 << 20
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    learn: Column,
+    most: int,
+    longest: int = 1 << 20,
+    most_bytes: int = 64 << 20,
 ) -> list[tuple[str, int]]:
     """At most `most` (text, label) pairs of labelled rows that `learn` allows, by a digest of their ids: bounded work.
 
     Half the bound belongs to each class, so a rare class is not lost. Texts of more than `longest` bytes are not learnt
-    from (they are scored like all others).
+    from (they are scored like all others), nor are those that no longer fit into `most_bytes` of all texts together.
     """
     known = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learn)
@@ -161,10 +167,21 @@ def labelled_sample(
         some = known.filter(F.col("label") == value).orderBy(*order).limit(most // 2)
         picked = some if picked is None else picked.union(some)
     # At most `most` small rows: a broadcast of proven size.
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.filter(F.octet_length("text") <= longest).join(F.broadcast(picked), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text", "label").limit(most).collect()
-    return [(r["text"], r["label"]) for r in rows]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.octet_length("text") <= longest)
+    rows = texts.join(F.broadcast(picked), "doc_id").withColumn("tie", F.xxhash64("doc_id", "text"))
+    # Sizes first: what is brought to the driver is chosen before its texts are.
+    sizes = rows.select("tie", "doc_id", "label", F.octet_length("text").alias("n")).orderBy("tie", "doc_id", "label")
+    chosen, left = [], most_bytes
+    for r in sizes.limit(most).collect():
+        if r["n"] <= left:
+            chosen.append((r["tie"], r["doc_id"], r["label"]))
+            left -= r["n"]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    taken = docs.sparkSession.createDataFrame(sorted(set(chosen)), f"tie bigint, doc_id {kind}, label int")
+    found = rows.join(F.broadcast(taken), ["tie", "doc_id", "label"]).select("tie", "doc_id", "label", "text").collect()
+    # Equal rows of one document are counted as often as they were chosen.
+    by_key = {(r["tie"], r["doc_id"], r["label"]): r["text"] for r in found}
+    return [(by_key[k], k[2]) for k in chosen]
 
 
 class Remembered(dict):
