@@ -16,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import quoted, written
+from bazaarspark.llm.common import quoted, removed, written
 
 LIMIT = 16 << 20  # bytes of text in a shard
 BITS = 60
 STEP = 8
+PIECE_BITS = 16  # copies that one task numbers: 2 to this power
 
 
 def hash_of() -> Column:
@@ -65,36 +66,60 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         depth = deep
 
 
-def placed(rows: DataFrame, leaves: DataFrame, hash_name: str = "hash") -> DataFrame:
+def placed(rows: DataFrame, leaves: DataFrame) -> DataFrame:
     """The rows with depth, prefix and whole of their bucket. The depths in use, 61 numbers at most, are collected."""
     depths = sorted(r["depth"] for r in leaves.select("depth").distinct().collect())
     each = F.explode(F.array(*(F.lit(d) for d in depths)) if depths else F.array().cast("array<int>"))
     rows = rows.select("*", each.alias("_depth"))
-    rows = rows.withColumn("_prefix", F.expr(f"shiftright({hash_name}, {BITS} - _depth)"))
+    rows = rows.withColumn("_prefix", F.expr(f"shiftright(hash, {BITS} - _depth)"))
     return rows.join(leaves, [rows["_depth"] == leaves.depth, rows["_prefix"] == leaves.prefix]).drop("_depth", "_prefix")
 
 
+def with_parts(rows: DataFrame, limit: int) -> DataFrame:
+    """The rows of `placed` with `part`: 0 in a bucket that fits; copies beyond the limit are dealt in order.
+
+    They are numbered in pieces of at most 2^`PIECE_BITS` rows, shifted by the sizes of the pieces before.
+    """
+    whole = rows.filter("whole").withColumn("part", F.lit(0).cast("bigint"))
+    many = rows.filter("NOT whole").withColumn("_piece", F.shiftright(F.monotonically_increasing_id(), PIECE_BITS))
+    # Written, so that every reader sees the same pieces.
+    many = written(many, "shard-copies")
+    if many.isEmpty():
+        removed(many)
+        return whole
+    key = ["depth", "prefix"]
+    ahead = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = many.groupBy(*key, "_piece").agg(F.count("*").alias("_n"))
+    pieces = pieces.select(*key, "_piece", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("_bytes", F.lit(1))))
+    number = F.row_number().over(Window.partitionBy(*key, "_piece").orderBy(F.lit(0)))
+    many = many.withColumn("_number", number).join(pieces, [*key, "_piece"])
+    many = many.withColumn("part", F.floor((F.col("_ahead") + F.col("_number") - 1) / fit))
+    return whole.unionByName(many.drop("_piece", "_number", "_ahead"))
+
+
 def shard_rows(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """doc_id, bytes, depth, prefix, part, shard of every document."""
     rows = written(hashed(docs), "shard-rows")
-    found = placed(rows, written(directory(rows, limit), "shard-directory"))
-    # Copies of one document beyond the limit: small rows, in order.
-    order = Window.partitionBy("depth", "prefix").orderBy("hash")
-    fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1))))
-    many = found.filter("not whole").withColumn("part", F.floor((F.row_number().over(order) - 1) / fit))
-    every = found.filter("whole").withColumn("part", F.lit(0).cast("bigint")).unionByName(many)
+    found = placed(rows.withColumn("_bytes", F.col("bytes")), written(directory(rows, limit), "shard-directory"))
     name = F.concat_ws("-", "depth", "prefix", "part").alias("shard")
-    return every.select("doc_id", "bytes", "depth", "prefix", "part", name)
+    return with_parts(found, limit).select("doc_id", "bytes", "depth", "prefix", "part", name)
 
 
 def write_shards(docs: DataFrame, folder: str, limit: int = LIMIT) -> None:
-    """The documents in one folder for each bucket, `folder`/shard=depth-prefix."""
-    leaves = directory(written(hashed(docs).select("hash", "bytes"), "shard-rows"), limit)
-    leaves = written(leaves, "shard-directory")
-    found = placed(docs.withColumn("_hash", hash_of()), leaves, "_hash")
-    found = found.withColumn("_shard", F.concat_ws("-", leaves.depth, leaves.prefix))
-    rows = found.select(*(F.col(quoted(c)) for c in docs.columns), F.col("_shard").alias("shard"))
-    rows.repartition("shard").write.partitionBy("shard").parquet(folder)
+    """The documents in one folder for each shard, `folder`/shard=depth-prefix-part."""
+    sizes = written(hashed(docs).select("hash", "bytes"), "shard-rows")
+    leaves = written(directory(sizes, limit), "shard-directory")
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
+    # The documents as one column: theirs may have any names.
+    rows = docs.select(
+        F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_row"), hash_of().alias("hash"), size.alias("_bytes")
+    )
+    found = with_parts(placed(rows, leaves), limit)
+    name = F.concat_ws("-", "depth", "prefix", "part").alias("shard")
+    found.select("_row.*", name).repartition("shard").write.partitionBy("shard").parquet(folder)
+    removed(sizes)
+    removed(leaves)
 
 
 SQL = f"""
