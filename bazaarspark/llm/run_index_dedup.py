@@ -319,9 +319,12 @@ def repeated_spans(rows: DataFrame, length: int, anchor: int = ANCHOR, crowd: in
     found = written(segments_of(texts, length, anchor), "segments")
     ranges = [how(c).alias(f"{name}_{c}") for c in ("hi", "lo") for name, how in (("least", F.min), ("most", F.max))]
     several = found.groupBy("anchor").agg(F.count("*").alias("n"), *ranges).filter("n > 1")
-    several = several.select("anchor", F.expr("least_hi < most_hi OR least_lo < most_lo").alias("mixed"))
+    # A table of its own, so that the join can split what a frequent anchor brings to one partition.
+    mixed = F.expr("least_hi < most_hi OR least_lo < most_lo").alias("mixed")
+    several = written(several.select("anchor", mixed), "repeated-anchors")
     again = written(found.join(several, "anchor"), "repeated-segments")
     removed(found)
+    removed(several)
     end = F.col("start") + F.col("windows") + length - 1
     spans = again.filter("NOT mixed").select("tid", F.col("start").alias("s"), end.alias("e"))
     # Different segments with one anchor, each once.
