@@ -10,16 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarspark.llm.common import table, written
+from bazaarspark.llm.common import removed, table, written
 from bazaarspark.llm.cube_mixing import mixed
 from bazaarspark.llm.ftrl_quality import kept_by_quality
 from bazaarspark.llm.piece_codec import with_pieces
 from bazaarspark.llm.unit_dedup import without_repeats
-from bazaarspark.llm.wildcard_simhash import one_of_each
+from bazaarspark.llm.wildcard_simhash import DISTANCE, SHINGLE, one_of_each
 
-# Bits that near-duplicates of the stage may differ by: about two thirds of the pairs that share 80 % of their five-word
-# shingles do not differ by more, and next to none that share less than half (README).
-WITHIN = 7
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -29,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return one_of_each(docs, distance=WITHIN)
+    """One document of each group of near-duplicates, linked as `op4_simhash` links them: four words, four bits."""
+    return one_of_each(docs, size=SHINGLE, distance=DISTANCE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's result is written and read again: a stage that reads its input twice reads the same rows."""
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's result is written and read again: a stage that reads its input twice reads the same rows.
+
+    What a stage has read goes once its own result is there.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "stage")
+        if before is not None:
+            removed(before)
+        before = docs
     return docs
