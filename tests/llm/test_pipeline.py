@@ -47,7 +47,7 @@ def test_stages(spark):
 
     texts = {r["doc_id"]: r["text"] for r in good.collect()}
     fps = {i: fingerprint(t.encode()) for i, t in texts.items()}
-    near = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= corpus_pipeline.WITHIN]
+    near = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= corpus_pipeline.DISTANCE]
     assert {r["doc_id"] for r in single.collect()} == set(smallest(fps, near).values())
 
     seen = set()
