@@ -331,9 +331,22 @@ def normalize_orders(
     `fix_discount` adds the seller voucher to the seller discount. `compatible_currency` converts only
     USD and leaves the currency code, instead of using the whole rate table.
     """
+    return orders_split(mapped_orders(raw, fix_discount, compatible_currency), run_at)
+
+
+def orders_split(mapped: DataFrame, run_at: dt.datetime | Column | None = None) -> Split:
+    """Good orders and dead letters of `mapped_orders`."""
     at = F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
+    parts = split(mapped, "_problem", "record", "_shop", at)
+    return Split(parts.good.drop("_shop").withColumn("transformed_at", at), parts.dead)
+
+
+def mapped_orders(
+    raw: DataFrame, fix_discount: bool = False, compatible_currency: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every record with its order's fields, `_shop`, `_problem` (NULL if there is none) and the columns to `carry`."""
     shop = F.col("_shop")
-    kept = ["record", "malformed", "extracted_at", "_shop"]
+    kept = ["record", "malformed", "extracted_at", "_shop", *carry]
     parsed = computed_once(
         raw.withColumn("_shop", order_platform("platform", F.col("payload"))),
         {
@@ -383,14 +396,13 @@ def normalize_orders(
         (F.col("malformed"), "JSONDecodeError", "record is not a JSON object"),
         (~F.col("malformed") & ~shop.isin(*fixed.SHOP_PLATFORMS), "UnknownPlatform", "platform is unknown"),
     )
-    out = mapped.select(
+    return mapped.select(
         "record",
+        *carry,
         shop.alias("_shop"),
         *[derived.get(c, F.col(f"_o.{c}")).alias(c) for c in ORDER_FIELDS],
         F.coalesce(whole, F.col("_o.problem")).alias("_problem"),
     )
-    parts = split(out, "_problem", "record", "_shop", at)
-    return Split(parts.good.drop("_shop").withColumn("transformed_at", at), parts.dead)
 
 
 def order_items(orders: DataFrame) -> DataFrame:
