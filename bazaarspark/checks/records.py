@@ -150,8 +150,8 @@ def tiktok_payload() -> Column:
     )
 
 
-def landed_orders(s: Staging, named: bool = True) -> DataFrame:
-    """One record per order. Every 13th is cut off in the middle; `named=False` leaves platforms to be detected."""
+def order_lines(s: Staging, named: bool = True) -> DataFrame:
+    """(platform, value): one record per order, every 13th cut off in the middle; `named=False` leaves platforms to be detected."""
     shop = F.pmod(F.col("o_custkey"), F.lit(3))
     payload = (
         F.when(shop == 0, shopee_payload()).when(shop == 1, lazada_payload()).otherwise(tiktok_payload())
@@ -163,9 +163,15 @@ def landed_orders(s: Staging, named: bool = True) -> DataFrame:
         platform=name if named else F.lit(None).cast("string"),
         extracted_at=F.lit("2001-08-01T00:00:00Z"),
     )
-    whole = s.spread(priced_orders(s), "o_orderkey").withColumn("payload", payload).select("o_orderkey", wrapped.alias("value"))
+    whole = s.spread(priced_orders(s), "o_orderkey").withColumn("payload", payload)
+    whole = whole.select("o_orderkey", name.alias("platform"), wrapped.alias("value"))
     cut = F.when(key() % 13 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
-    return from_text(whole.select(cut.alias("value")))
+    return whole.select("platform", cut.alias("value"))
+
+
+def landed_orders(s: Staging, named: bool = True) -> DataFrame:
+    """`order_lines` as landed records."""
+    return from_text(order_lines(s, named).select("value"))
 
 
 def landed_ads(s: Staging) -> DataFrame:

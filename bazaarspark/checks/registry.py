@@ -6,7 +6,7 @@ import importlib
 
 from bazaarspark.checks.framework import Check
 
-MODULES = ("marts", "declared", "payloads")
+MODULES = ("marts", "declared", "payloads", "loads")
 
 
 def checks() -> dict[str, Check]:
