@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarspark.operators.once import computed_once
+
 ENVELOPE = (
     "type string, platform string, data_type string, level string, shop_id string, region string,"
     " ad_account_id string, customer_id string, advertiser_id string, property_id string, date string,"
@@ -22,12 +24,12 @@ def from_text(df: DataFrame, column: str = "value", more: tuple[str, ...] = ())
     payload and the inner envelope's fields fill those the outer one lacks. A text that is no JSON
     object has `malformed` set. `more` names columns of `df` to keep.
     """
-    outer = F.from_json(F.col(column), ENVELOPE + ", _corrupt string", CORRUPT)
+    outer = F.from_json("record", ENVELOPE + ", _corrupt string", CORRUPT)
     inner = F.from_json(F.col("_outer.data"), ENVELOPE)
-    parsed = (
-        df.select(*more, F.col(column).alias("record"), outer.alias("_outer"))
-        .withColumn("_nested", F.when(F.get_json_object("_outer.data", "$.data").isNotNull(), inner))
-    )
+    # Parsed once per record: filters on envelope fields stay above the parse.
+    parsed = computed_once(df.select(*more, F.col(column).alias("record")), {"_outer": outer})
+    nested = F.when(F.get_json_object("_outer.data", "$.data").isNotNull(), inner)
+    parsed = computed_once(parsed, {"_nested": nested})
     fields = [c for c in ENVELOPE_FIELDS if c != "data"]
     return parsed.select(
         *more,
