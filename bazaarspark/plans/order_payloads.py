@@ -348,7 +348,7 @@ def mapped_orders(
     shop = F.col("_shop")
     kept = ["record", "malformed", "extracted_at", "_shop", *carry]
     parsed = computed_once(
-        raw.withColumn("_shop", order_platform("platform", F.col("payload"))),
+        computed_once(raw, {"_shop": order_platform("platform", F.col("payload"))}),
         {
             "_shopee": F.when(shop == "shopee", F.from_json("payload", SHOPEE)),
             "_lazada": F.when(shop == "lazada", F.from_json("payload", LAZADA)),
