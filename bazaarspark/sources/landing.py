@@ -112,9 +112,10 @@ def report_rows(reports: DataFrame, dimensions: str, metrics: str, rows: str, ke
     )
 
 
-def realtime_rows(rows: DataFrame) -> DataFrame:
-    """Active users by country and city out of realtime report rows with dimension and metric maps."""
+def realtime_rows(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Active users by country and city out of realtime report rows with dimension and metric maps; a stream or not."""
     return rows.select(
+        *keep,
         F.col("property_id"),
         F.try_element_at("dimensions", F.lit("country")).alias("country"),
         F.try_element_at("dimensions", F.lit("city")).alias("city"),
