@@ -217,6 +217,12 @@ def positional_reports(s: Staging):
     )
 
 
+def order_page():
+    """Texts with one prefix, a third of them the same."""
+    page = F.when(F.col("o_orderkey") % 3 == 0, "home").otherwise(F.col("o_custkey").cast("string"))
+    return F.concat(F.lit("https://shop.example/p/"), page)
+
+
 FX_CODES = ("USD", "EUR", "THB", "JPY", "PHP", "XXX")
 FX_TARGETS = ("THB", "USD", "EUR", "GBP")
 FX_SQL = {
@@ -799,6 +805,15 @@ LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY ALL""",
         ),
         """SELECT o_orderkey, rank() OVER (PARTITION BY o_orderstatus ORDER BY CAST(o_orderdate AS DATE) DESC) AS position FROM orders""",
     ),
+    Check(
+        "w5e_rank_of_texts",
+        "l o_orderkey position",
+        lambda s: ranking.with_position(
+            s.table("orders").select("o_orderkey", "o_orderstatus", order_page().alias("v")), ["o_orderstatus"], "v", "o_orderkey", per_range=500
+        ).select("o_orderkey", F.col("_rank").alias("position")),
+        """SELECT o_orderkey, rank() OVER (PARTITION BY o_orderstatus ORDER BY 'https://shop.example/p/' ||
+    CASE WHEN o_orderkey % 3 = 0 THEN 'home' ELSE CAST(o_custkey AS VARCHAR) END DESC) AS position FROM orders""",
+    ),
     Check(
         "w6_share_of_total",
         "l o_orderkey; r share",
