@@ -292,8 +292,8 @@ def landed_web(s: Staging) -> DataFrame:
     return from_text(traffic.union(sessions).union(pages))
 
 
-def landed_products(s: Staging) -> DataFrame:
-    """Product records of the three shops, each landed twice on different days."""
+def landed_products(s: Staging, named: bool = True) -> DataFrame:
+    """Product records of the three shops, each landed twice on different days; `named=False` leaves platforms to be detected."""
     shop = F.col("platform")
     number, price = F.col("platform_product_id"), F.col("unit_price") + F.col("copy")
     payload = (
@@ -314,7 +314,7 @@ def landed_products(s: Staging) -> DataFrame:
     value = envelope(
         payload,
         type=F.lit("product"),
-        platform=shop,
+        platform=shop if named else F.lit(None).cast("string"),
         extracted_at=F.when(F.col("copy") == 0, "2001-07-01T00:00:00Z").otherwise("2001-07-02T00:00:00Z"),
     )
     return from_text(copies.select(value.alias("value")))

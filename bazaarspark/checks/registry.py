@@ -6,7 +6,7 @@ import importlib
 
 from bazaarspark.checks.framework import Check
 
-MODULES = ("marts", "declared", "payloads", "loads", "streams")
+MODULES = ("marts", "declared", "payloads", "loads", "streams", "detection")
 
 
 def checks() -> dict[str, Check]:

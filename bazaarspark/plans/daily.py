@@ -23,7 +23,10 @@ ADS_SUMS = {
 ROW_AVERAGES = ("ctr", "cpc", "cpm")
 
 
-def orders_by_day(orders: DataFrame, as_of, bucket_tz: str | None = None) -> DataFrame:
+SKETCH = "customers_sketch"
+
+
+def orders_by_day(orders: DataFrame, as_of, bucket_tz: str | None = None, sketches: bool = False) -> DataFrame:
     """Order measures per day and shop platform. Days are UTC days unless `bucket_tz` names a zone."""
     day = F.to_date("order_date") if bucket_tz is None else F.to_date(F.from_utc_timestamp("order_date", bucket_tz))
     return (
@@ -38,6 +41,7 @@ def orders_by_day(orders: DataFrame, as_of, bucket_tz: str | None = None) -> Dat
             F.sum("shipping_fee").alias("total_shipping_fee"),
             F.sum("item_count").alias("total_items_sold"),
             F.count_distinct("customer_id").alias("unique_customers"),
+            *([F.hll_sketch_agg("customer_id").alias(SKETCH)] if sketches else []),
         )
     )
 
@@ -54,15 +58,16 @@ def ads_by_day(ads: DataFrame, as_of, by) -> DataFrame:
 
 
 def daily_performance(
-    orders: DataFrame, ads: DataFrame, as_of, additive: bool = False, bucket_tz: str | None = None
+    orders: DataFrame, ads: DataFrame, as_of, additive: bool = False, bucket_tz: str | None = None, sketches: bool = False
 ) -> DataFrame:
     """Orders and ads per day, both sides reduced to day x platform before they meet.
 
     By default the spend of platforms that serve all shops is repeated next to every shop of the day, as
     the published mart does. `additive=True` keeps it on a row of its own ('all'), so that sums over the
-    mart are the true totals.
+    mart are the true totals. `sketches=True` adds a mergeable sketch of the customers to each row, from
+    which `unique_customers` takes distinct customers of any longer period or several platforms.
     """
-    o = orders_by_day(orders, as_of, bucket_tz).alias("o")
+    o = orders_by_day(orders, as_of, bucket_tz, sketches).alias("o")
     shop = F.coalesce(shop_of_ads("platform"), F.lit(None).cast("string")).alias("shop")
     if additive:
         a = ads_by_day(ads, as_of, shop).alias("a")
@@ -82,9 +87,21 @@ def daily_performance(
         ratio("net_revenue", "completed_orders").alias("avg_order_value"),
         ratio("completed_orders", "total_orders").alias("order_completion_rate"),
         ratio("total_conversions", "total_clicks").alias("conversion_rate"),
+        *([F.col(SKETCH)] if sketches else []),
     )
 
 
+def unique_customers(mart: DataFrame, period: str = "day", by: tuple[str, ...] = ()) -> DataFrame:
+    """(period_start, by, unique_customers) from a mart with sketches: a customer of several days or shops counts once.
+
+    The estimate is off by 1.6 % at one standard deviation; the sums of `daily_performance_total` count customers again in
+    every shop.
+    """
+    start = F.to_date(F.date_trunc(period, "date")).alias("period_start")
+    merged = mart.where(F.col(SKETCH).isNotNull()).groupBy(start, *by).agg(F.hll_union_agg(SKETCH).alias(SKETCH))
+    return merged.withColumn("unique_customers", F.hll_sketch_estimate(SKETCH)).drop(SKETCH)
+
+
 def daily_performance_total(mart: DataFrame) -> DataFrame:
     """One row per day over all platforms; ratios are taken from the summed parts."""
     sums = mart.groupBy("date").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarspark.operators.once import computed_once
+from bazaarspark.operators.quality import Split, problem, split
 
 ENVELOPE = (
     "type string, platform string, data_type string, level string, shop_id string, region string,"
@@ -197,6 +198,23 @@ def csv_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
+def csv_rows(lines: DataFrame, schema: str, platform: str, at: Column, column: str = "value") -> Split:
+    """Rows of CSV lines with the columns of `schema` in order, and dead letters: lines with other cells or too few of them.
+
+    The header line of each file is left out. Works on streams too; a quoted cell cannot hold a line feed.
+    """
+    names = T.StructType.fromDDL(schema).fieldNames()
+    plain = F.lower(F.regexp_replace(column, r'[" \r\x{feff}]', ""))
+    text = lines.where((F.trim(column) != "") & (plain != ",".join(names).lower())).select(F.col(column).alias("record"))
+    options = {"mode": "PERMISSIVE", **CORRUPT}
+    parsed = computed_once(text, {"_row": F.from_csv("record", f"{schema}, _corrupt string", options)})
+    whole = problem((F.col("_row._corrupt").isNotNull() | F.col("_row").isNull(), "CSVDecodeError", "a line does not fit the columns"))
+    cells = [F.col(f"_row.`{n}`").alias(n) for n in names]
+    out = parsed.select("record", *cells, whole.alias("_problem"), F.lit(platform).alias("_platform"))
+    parts = split(out, "_problem", "record", "_platform", at)
+    return Split(parts.good.drop("_platform"), parts.dead)
+
+
 def breakdowns(df: DataFrame, wanted: list[str]) -> DataFrame:
     """Select the breakdown columns that exist, silently leaving out unknown names."""
     return df.select(*[c for c in wanted if c in df.columns])
