@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as driver
@@ -16,7 +18,13 @@ def con():
     return tables(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(checks()))
+# Minutes each, for the thousands of day folders they write; what they do is tested on small tables (test_ingest,
+# test_key_index, test_streaming_and_run). ALL_QUERIES=1 compares them here as well.
+LONG = {"i2_ingest_rerun", "k7_staging_loads", "k10_marts_and_views"}
+NAMES = sorted(n for n in checks() if n not in LONG or os.environ.get("ALL_QUERIES"))
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, con, name):
     assert difference(spark, con, checks()[name], SMALL) is None
 
