@@ -332,8 +332,12 @@ def repeated_spans(rows: DataFrame, length: int, anchor: int = ANCHOR, crowd: in
     one = F.min(F.struct("tid", "start", "windows", "anchor")).alias("one")
     contents = mixed.groupBy("hi", "lo").agg(F.count("*").alias("n"), one).select("hi", "lo", "n", "one.*")
     contents = written(contents, "segment-contents")
-    crowds = contents.groupBy("anchor").agg((F.count("*") > crowd).alias("crowded"))
-    pieces = written(with_pieces(distinct_texts(rows, length), contents.join(crowds, "anchor"), length), "pieces")
+    # Few anchors, in a table of their own: the join can split what one of them brings.
+    crowds = contents.groupBy("anchor").agg(F.count("*").alias("several")).filter(F.col("several") > crowd)
+    crowds = written(crowds.select("anchor", F.lit(True).alias("crowded")), "crowded-anchors")
+    wanted = contents.join(crowds, "anchor", "left").fillna(False, ["crowded"])
+    pieces = written(with_pieces(distinct_texts(rows, length), wanted, length), "pieces")
+    removed(crowds)
     inside = indexed(pieces.filter("NOT crowded"), length)
     if not pieces.filter("crowded").isEmpty():
         inside = inside.unionByName(counted(pieces.filter("crowded"), length))
