@@ -68,7 +68,7 @@ def begin(owner: str) -> None:
 
 def give_back() -> None:
     """Return freed memory to the system, where the C library can."""
-    gc.collect()
+    gc.collect(1)  # not through the tables that are kept
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
