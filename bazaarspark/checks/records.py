@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarspark.checks.staging import PROPERTY, Staging, code
+from bazaarspark.checks.staging import LINES, ORDERS, PROPERTY, Staging, code
 from bazaarspark.sources.landing import from_text, stitch_details
 
 
@@ -163,7 +163,7 @@ def order_lines(s: Staging, named: bool = True) -> DataFrame:
         platform=name if named else F.lit(None).cast("string"),
         extracted_at=F.lit("2001-08-01T00:00:00Z"),
     )
-    whole = s.spread(priced_orders(s), "o_orderkey").withColumn("payload", payload)
+    whole = s.spread(priced_orders(s), "o_orderkey", "orders", ORDERS).withColumn("payload", payload)
     whole = whole.select("o_orderkey", name.alias("platform"), wrapped.alias("value"))
     cut = F.when(key() % 13 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
     return whole.select("platform", cut.alias("value"))
@@ -245,8 +245,8 @@ def landed_ads(s: Staging) -> DataFrame:
     )
     kind = F.pmod(sup, F.lit(6))
     value = F.when(kind == 0, facebook).when(kind == 1, google).when(kind == 2, tiktok).otherwise(flat)
-    rows = s.table("lineitem")
-    return from_text(s.spread(rows, "l_orderkey").select(value.alias("value")))
+    rows = s.spread(s.table("lineitem"), "l_orderkey", "lineitem", LINES)
+    return from_text(rows.select(value.alias("value")))
 
 
 def landed_web(s: Staging) -> DataFrame:

@@ -15,6 +15,8 @@ AS_OF = dt.date(2001, 8, 1)
 WEB_SHIFT = 8217  # days between the events' calendar and the orders' calendar
 MASTERS = 500
 PROPERTY = "properties/1"
+# Rows for a task; a part becomes three products, each of them two records or more.
+LINES, ORDERS, PARTS = 100_000, 25_000, 20_000
 
 
 def code(key, names):
@@ -40,10 +42,15 @@ class Staging:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows over all cores. The given tables are single files, which are read by a task or two; work
-        per record that follows (building and parsing payloads) would otherwise stay there."""
-        return df.repartition(self.spark.sparkContext.defaultParallelism, key)
+    def spread(self, df: DataFrame, key: str, table: str, rows: int) -> DataFrame:
+        """Rows over all cores, and over so many tasks that each has about `rows` rows of `table`.
+
+        The given tables are single files, which are read by a task or two; work per record that follows
+        (building, parsing and sorting payloads) would otherwise stay there, or grow with the input in as
+        many tasks as there are cores. Rows are counted from the files' footers.
+        """
+        tasks = -(-self.table(table).count() // rows)
+        return df.repartition(max(self.spark.sparkContext.defaultParallelism, tasks), key)
 
     @functools.cached_property
     def order_keys(self) -> DataFrame:
@@ -104,7 +111,7 @@ class Staging:
 
     @functools.cached_property
     def products(self) -> DataFrame:
-        p = self.table("part")
+        p = self.spread(self.table("part"), "p_partkey", "part", PARTS)
         each = F.explode(F.array(F.lit("shopee"), F.lit("lazada"), F.lit("tiktok_shop"))).alias("platform")
         return p.select("*", each).select(
             F.concat_ws("_", "platform", F.col("p_partkey").cast("string")).alias("product_id"),
