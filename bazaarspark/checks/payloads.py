@@ -42,17 +42,15 @@ def google_levels(s: Staging):
     number = F.get_json_object("payload", "$.campaign.id").cast("long")
     level = records.code(F.floor(number / 6), ("campaign", "adgroup", "ad", "keyword"))
     raw = records.landed_ads(s).where(F.col("customer_id") == "cust").withColumn("type", level)
-    found = None
+    days = ("2000-01-01", "2000-12-31")
+    present = {}
     for name, parts in landing.GOOGLE_LEVELS.items():
-        rows = landing.google_rows(raw, name, "2000-01-01", "2000-12-31")
-        present = ",".join(c for c in rows.columns if c in parts)
-        part = rows.groupBy(F.lit(name).alias("level"), F.col("campaign.id").alias("campaign_id"), "date").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.col("metrics")["impressions"].cast("long")).alias("impressions"),
-            F.lit(present).alias("parts"),
-        )
-        found = part if found is None else found.unionByName(part)
-    return found
+        present[name] = ",".join(c for c in landing.google_rows(raw, name, *days).columns if c in parts)
+    rows = landing.google_reports(raw.where(F.col("type").isin(*present)), *days)
+    sums = rows.groupBy(F.col("type").alias("level"), F.col("campaign.id").alias("campaign_id"), "date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("metrics")["impressions"].cast("long")).alias("impressions")
+    )
+    return sums.withColumn("parts", F.element_at(F.create_map(*[F.lit(x) for i in present.items() for x in i]), F.col("level")))
 
 
 def landed_entities(s: Staging):

@@ -174,8 +174,8 @@ GOOGLE_LEVELS = {
 }
 
 
-def google_rows(raw: DataFrame, level: str, first_day: str, last_day: str) -> DataFrame:
-    """Report rows of one level between two days: ids and names of the level's resources and its metrics."""
+def google_reports(raw: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Report rows of all levels between two days in one pass: the level (`type`), all resources and the metrics."""
     schema = (
         "campaign struct<id: string, name: string, status: string, advertisingChannelType: string>,"
         " adGroup struct<id: string, name: string, status: string>,"
@@ -183,16 +183,20 @@ def google_rows(raw: DataFrame, level: str, first_day: str, last_day: str) -> Da
         " adGroupCriterion struct<criterionId: string, keyword: struct<text: string, matchType: string>>,"
         " metrics map<string, string>, date string"
     )
-    parts = GOOGLE_LEVELS.get(level, tuple(GOOGLE_LEVELS["ad"]))
+    resources = ("campaign", "adGroup", "adGroupAd", "adGroupCriterion")
     day = F.to_date("_g.date")
-    return (
-        raw.where((F.col("type") == level) & ~F.col("malformed"))
-        .withColumn("_g", F.from_json("payload", schema))
-        .where(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
-        .select("customer_id", *[F.col(f"_g.{p}").alias(p) for p in parts], F.col("_g.metrics").alias("metrics"), day.alias("date"))
+    parsed = computed_once(raw.where(~F.col("malformed")), {"_g": F.from_json("payload", schema)}, keep=["type", "customer_id"])
+    return parsed.where(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))).select(
+        "type", "customer_id", *[F.col(f"_g.{p}").alias(p) for p in resources], F.col("_g.metrics").alias("metrics"), day.alias("date")
     )
 
 
+def google_rows(raw: DataFrame, level: str, first_day: str, last_day: str) -> DataFrame:
+    """Report rows of one level between two days: ids and names of the level's resources and its metrics."""
+    parts = GOOGLE_LEVELS.get(level, tuple(GOOGLE_LEVELS["ad"]))
+    return google_reports(raw.where(F.col("type") == level), first_day, last_day).select("customer_id", *parts, "metrics", "date")
+
+
 def csv_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV export with a header, read with a given schema."""
     return spark.read.csv(path, header=True, schema=schema)
