@@ -11,10 +11,10 @@ from bazaarspark.checks import records
 from bazaarspark.checks.framework import Check
 from bazaarspark.checks.payloads import AD_BASE, RUN_AT
 from bazaarspark.checks.sql_staging import pick, using
-from bazaarspark.checks.staging import AS_OF, Staging
+from bazaarspark.checks.staging import AS_OF, LINES, Staging
 from bazaarspark.functions.dates import since_instant
 from bazaarspark.plans import daily
-from bazaarspark.plans.ads_payloads import normalize_ads
+from bazaarspark.plans.ads_payloads import mapped_ads, normalize_ads
 from bazaarspark.plans.product_payloads import normalize_products
 from bazaarspark.session import shared_checkpoint_dir
 from bazaarspark.sources import landing
@@ -41,9 +41,14 @@ def unnamed_ads(s: Staging) -> DataFrame:
     )
     other = records.envelope(records.json(clicks=F.lit("1"), date=day), type=F.lit("ad"), platform=none)
     value = F.when(supplier % 4 == 0, facebook).when(supplier % 4 == 1, google).when(supplier % 4 == 2, tiktok).otherwise(other)
-    parts = normalize_ads(landing.from_text(s.table("lineitem").select(value.alias("value"))), RUN_AT)
-    found = parts.good.select("platform", F.lit("good").alias("outcome"), "clicks")
-    found = found.unionByName(parts.dead.select(F.col("source_platform").alias("platform"), F.col("error_type").alias("outcome"), F.lit(0).alias("clicks")))
+    # Good and dead records in one pass: a record is built and parsed once.
+    rows, bad = s.spread(s.table("lineitem"), "l_orderkey", "lineitem", LINES), F.col("_problem").isNotNull()
+    mapped = mapped_ads(landing.from_text(rows.select(value.alias("value"))))
+    found = mapped.select(
+        F.when(bad, F.col("_platform")).otherwise(F.col("platform")).alias("platform"),
+        F.when(bad, F.col("_problem.error_type")).otherwise("good").alias("outcome"),
+        F.when(bad, 0).otherwise(F.col("clicks")).alias("clicks"),
+    )
     return found.groupBy("platform", "outcome").agg(F.count(F.lit(1)).alias("records"), F.sum("clicks").alias("clicks"))
 
 
@@ -67,7 +72,8 @@ def video_measures(s: Staging) -> DataFrame:
         video_p75_watched_actions=seen(3), video_p100_watched_actions=seen(4),
     )
     value = records.envelope(payload, type=F.lit("insight"), platform=F.lit("facebook_ads"), ad_account_id=F.lit("act"))
-    return normalize_ads(landing.from_text(s.table("lineitem").select(value.alias("value"))), RUN_AT).good
+    rows = s.spread(s.table("lineitem"), "l_orderkey", "lineitem", LINES)
+    return normalize_ads(landing.from_text(rows.select(value.alias("value"))), RUN_AT).good
 
 
 def quarter(part: int, name: str) -> str:
