@@ -19,12 +19,13 @@ SALES_GRAIN = ("date", "master_sku", "platform", "product_name", "variation")
 def with_master_sku(df: DataFrame, sku_map: DataFrame) -> DataFrame:
     """Attach the unified SKU, the platform's own where the map has none.
 
-    No broadcast hint: the map grows with the catalogue. Spark broadcasts it while its size is under the
-    broadcast threshold and otherwise shuffles, splitting partitions that a hot SKU makes too large.
+    The map grows with the catalogue, and Spark's estimate of a map derived from other tables (from their compressed
+    files, before they are expanded) can be far too low: it would be broadcast whole into every task. So it is always
+    sorted and merged, which splits partitions that a hot SKU makes too large.
     """
     m = sku_map.select(
         F.col("platform").alias("_platform"), F.col("platform_sku").alias("_sku"), F.col("master_sku").alias("_master")
-    )
+    ).hint("merge")
     return (
         df.join(m, (df["platform"] == m["_platform"]) & (df["sku"] == m["_sku"]), "left")
         .withColumn("master_sku", F.coalesce("_master", "sku"))
