@@ -95,10 +95,33 @@ def order_platform(platform, payload, lenient: bool = False) -> Column:
     )
 
 
-def _items(platform: str, schema: str, arrays: tuple[str, ...], **fields: str) -> Column:
-    """Unified items out of the first non-empty list; `fields` are SQL texts over a list element `i`."""
+# Lists of items, of which the first that is not empty counts, their schema, and the numbers items need to have.
+LISTS = {
+    "_shopee": (("item_list", "items"), SHOPEE_ITEM, ("model_quantity_purchased", "model_discounted_price")),
+    "_lazada": (
+        *(("order_items", "items"), LAZADA_ITEM),
+        ("quantity", "item_price", "voucher_seller", "voucher_platform"),
+    ),
+    "_tiktok": (
+        *(("item_list", "line_items"), TIKTOK_ITEM),
+        ("quantity", "sale_price", "platform_discount", "seller_discount"),
+    ),
+}
+
+
+def _list(shape: str) -> str:
+    arrays, schema, _ = LISTS[shape]
     empty = f"from_json('[]', 'array<struct<{schema.replace('variant', 'string')}>>')"
-    source = f"coalesce({', '.join(f'case when size({a}) > 0 then {a} end' for a in arrays)}, {empty})"
+    return f"coalesce({', '.join(f'case when size({shape}.{a}) > 0 then {shape}.{a} end' for a in arrays)}, {empty})"
+
+
+def _unreadable_item(shape: str) -> Column:
+    wrong = Sql.unreadable(*[f"i.{c}" for c in LISTS[shape][2]])
+    return F.expr(f"exists({_list(shape)}, i -> {wrong})")
+
+
+def _items(platform: str, shape: str, **fields: str) -> Column:
+    """Unified items out of the first non-empty list; `fields` are SQL texts over a list element `i`."""
     cells = {
         "item_id": f"coalesce({fields['item_id']}, '')",
         "product_id": f"coalesce({fields['product_id']}, '')",
@@ -111,16 +134,14 @@ def _items(platform: str, schema: str, arrays: tuple[str, ...], **fields: str) -
         "platform": f"'{platform}'",
         "variation": fields["variation"],
         "weight": Sql.number("i.weight"),
-        "readable": f"not ({fields['unreadable']})",
     }
-    return F.expr(f"transform({source}, i -> named_struct({', '.join(f"'{n}', {c}" for n, c in cells.items())}))")
+    return F.expr(f"transform({_list(shape)}, i -> named_struct({', '.join(f"'{n}', {c}" for n, c in cells.items())}))")
 
 
 def _shopee_items() -> Column:
     return _items(
         "shopee",
-        SHOPEE_ITEM,
-        ("_shopee.item_list", "_shopee.items"),
+        "_shopee",
         item_id="i.item_id",
         product_id="i.item_id",
         sku=Sql.first_text("i.model_sku", "i.item_sku"),
@@ -129,15 +150,13 @@ def _shopee_items() -> Column:
         unit_price=Sql.first_number("i.model_discounted_price", "i.item_price"),
         discount="0D",
         variation="i.model_name",
-        unreadable=Sql.unreadable("i.model_quantity_purchased", "i.model_discounted_price"),
     )
 
 
 def _lazada_items() -> Column:
     return _items(
         "lazada",
-        LAZADA_ITEM,
-        ("_lazada.order_items", "_lazada.items"),
+        "_lazada",
         item_id="i.order_item_id",
         product_id=Sql.first_text("i.product_id", "i.sku_id"),
         sku=Sql.first_text("i.sku", "i.seller_sku"),
@@ -146,15 +165,13 @@ def _lazada_items() -> Column:
         unit_price=Sql.first_number("i.item_price", "i.paid_price"),
         discount=f"{Sql.first_number('i.voucher_seller')} + {Sql.first_number('i.voucher_platform')}",
         variation="i.variation",
-        unreadable=Sql.unreadable("i.quantity", "i.item_price", "i.voucher_seller", "i.voucher_platform"),
     )
 
 
 def _tiktok_items() -> Column:
     return _items(
         "tiktok_shop",
-        TIKTOK_ITEM,
-        ("_tiktok.item_list", "_tiktok.line_items"),
+        "_tiktok",
         item_id="i.id",
         product_id="i.product_id",
         sku=Sql.first_text("i.seller_sku", "i.sku_id"),
@@ -163,36 +180,66 @@ def _tiktok_items() -> Column:
         unit_price=Sql.first_number("i.sale_price", "i.sku_sale_price"),
         discount=f"{Sql.first_number('i.platform_discount')} + {Sql.first_number('i.seller_discount')}",
         variation="i.sku_name",
-        unreadable=Sql.unreadable("i.quantity", "i.sale_price", "i.platform_discount", "i.seller_discount"),
     )
 
 
-def _order(problem_column: Column, **values: Column) -> Column:
+def _order(**values: Column) -> Column:
     values["item_count"] = F.size(values["items"]).cast("long")
     fields = [c for c in ORDER_FIELDS if c not in ("currency", "status")]
-    return F.struct(*[col(values[c]).alias(c) for c in fields], problem_column.alias("problem"))
+    return F.struct(*[col(values[c]).alias(c) for c in fields])
+
+
+NUMBERS = {
+    "shopee": ("_shopee.order_sn", "_shopee.ordersn"),
+    "lazada": ("_lazada.order_id", "_lazada.order_number"),
+    "tiktok_shop": ("_tiktok.order_id", "_tiktok.id"),
+}
+# Amounts that have to be numbers, by shape.
+AMOUNTS = {
+    "_shopee": ("total_amount", "actual_shipping_fee", "seller_discount", "voucher_seller"),
+    "_lazada": ("price", "shipping_fee", "voucher_seller", "voucher_platform"),
+    "_tiktok.payment_info": ("sub_total", "shipping_fee", "seller_discount", "platform_discount", "total_amount"),
+}
+
+
+def _order_number(shop: str) -> Column:
+    return first_text(*NUMBERS[shop])
+
+
+def _by_shop(shopee, lazada, tiktok) -> Column:
+    shop = F.col("_shop")
+    return F.when(shop == "shopee", shopee).when(shop == "lazada", lazada).when(shop == "tiktok_shop", tiktok)
+
+
+def _problem() -> Column:
+    shop = F.col("_shop")
+    number = _by_shop(*[_order_number(s) for s in fixed.SHOP_PLATFORMS])
+    is_list = F.col("_lazada.statuses").startswith("[")
+    no_state = F.coalesce(is_list, F.lit(False)) & F.get("_states", F.lit(0)).isNull()
+    whole = problem(
+        (F.col("malformed"), "JSONDecodeError", "record is not a JSON object"),
+        (~F.col("malformed") & ~shop.isin(*fixed.SHOP_PLATFORMS), "UnknownPlatform", "platform is unknown"),
+    )
+    order = problem(
+        (number.isNull() & (shop == "shopee"), "MappingError", "Missing order_sn"),
+        (number.isNull() & (shop != "shopee"), "MappingError", "Missing order_id"),
+        ((shop == "lazada") & no_state, "IndexError", "statuses is empty"),
+        (F.col("_ordered").isNull(), "ValidationError", "order_date is missing or unreadable"),
+        (F.col("_wrong_amount"), "ValidationError", "an amount is not a number"),
+        (F.col("_wrong_item"), "ValidationError", "an item has an unreadable number"),
+    )
+    return F.coalesce(whole, order)
 
 
 def _shopee(fix_discount: bool) -> Column:
     p = lambda name: f"_shopee.{name}"
     address = lambda name: p(f"recipient_address.{name}")
-    order_number = first_text(p("order_sn"), p("ordersn"))
+    order_number = _order_number("shopee")
     voucher = first_number(p("voucher_seller"))
     seller = first_number(p("seller_discount"))
     # Published rule: the voucher only counts when the seller gave no discount of its own.
     discount = seller + voucher if fix_discount else F.when(counts(p("seller_discount")), seller).otherwise(voucher)
-    ordered = parse_instant(p("create_time"))
     return _order(
-        problem(
-            (order_number.isNull(), "MappingError", "Missing order_sn"),
-            (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
-            (
-                unreadable(*[p(c) for c in ("total_amount", "actual_shipping_fee", "seller_discount", "voucher_seller")]),
-                "ValidationError",
-                "an amount is not a number",
-            ),
-            (F.exists("_shopee_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
-        ),
         order_id=F.concat(F.lit("shopee_"), order_number),
         platform=F.lit("shopee"),
         platform_order_id=order_number,
@@ -200,7 +247,7 @@ def _shopee(fix_discount: bool) -> Column:
         customer_name=first_text(p("buyer_username"), address("name")),
         customer_phone=address("phone"),
         status_raw=F.coalesce(p("order_status"), F.lit("")),
-        order_date=ordered,
+        order_date=F.col("_ordered"),
         paid_date=parse_instant(p("pay_time")),
         shipped_date=parse_instant(p("ship_by_date")),
         completed_date=F.when(F.col(p("order_status")) == "COMPLETED", parse_instant(p("update_time"))),
@@ -219,7 +266,7 @@ def _shopee(fix_discount: bool) -> Column:
 
 def _lazada() -> Column:
     p = lambda name: f"_lazada.{name}"
-    order_number = first_text(p("order_id"), p("order_number"))
+    order_number = _order_number("lazada")
     is_list = F.col(p("statuses")).startswith("[")
     first_state = F.get("_states", F.lit(0))
     of_items = F.aggregate("_lazada_items", F.lit(0.0), lambda total, i: total + i["total_price"])
@@ -227,23 +274,11 @@ def _lazada() -> Column:
     subtotal = F.when(counts(price), first_number(price)).otherwise(of_items)
     shipping = first_number(p("shipping_fee"))
     discount = first_number(p("voucher_seller")) + first_number(p("voucher_platform"))
-    ordered = parse_instant(p("created_at"))
     address = F.col("_address")
     is_address = F.col(p("address_shipping")).startswith("{")
     parts = ("address1", "address2", "address3", "city", "ward", "region", "post_code")
     name = F.trim(F.concat_ws(" ", p("customer_first_name"), p("customer_last_name")))
     return _order(
-        problem(
-            (order_number.isNull(), "MappingError", "Missing order_id"),
-            (F.coalesce(is_list, F.lit(False)) & first_state.isNull(), "IndexError", "statuses is empty"),
-            (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
-            (
-                unreadable(price, *[p(c) for c in ("shipping_fee", "voucher_seller", "voucher_platform")]),
-                "ValidationError",
-                "an amount is not a number",
-            ),
-            (F.exists("_lazada_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
-        ),
         order_id=F.concat(F.lit("lazada_"), order_number),
         platform=F.lit("lazada"),
         platform_order_id=order_number,
@@ -251,7 +286,7 @@ def _lazada() -> Column:
         customer_name=F.nullif(name, F.lit("")),
         customer_phone=F.when(is_address, address["phone"]),
         status_raw=F.coalesce(F.when(is_list, first_state).otherwise(F.col(p("status"))), F.lit("")),
-        order_date=ordered,
+        order_date=F.col("_ordered"),
         paid_date=parse_instant(p("payment_method_paid_date")),
         shipped_date=parse_instant(p("shipped_at")),
         completed_date=F.when(F.lower(p("statuses")).contains("delivered"), parse_instant(p("updated_at"))),
@@ -275,21 +310,13 @@ def _tiktok() -> Column:
     paid = lambda name: p(f"payment_info.{name}")
     address = lambda name: p(f"recipient_address.{name}")
     # Two generations of the order payload name the id and the state differently.
-    order_number = first_text(p("order_id"), p("id"))
+    order_number = _order_number("tiktok_shop")
     state = first_text(p("order_status"), p("status"))
     subtotal = first_number(paid("sub_total"), paid("original_total_product_price"))
     shipping = first_number(paid("shipping_fee"), paid("original_shipping_fee"))
     discount = first_number(paid("seller_discount")) + first_number(paid("platform_discount"))
     total = first_number(paid("total_amount"), p("payment_method_amount"))
-    ordered = parse_instant(p("create_time"))
-    amounts = ("sub_total", "shipping_fee", "seller_discount", "platform_discount", "total_amount")
     return _order(
-        problem(
-            (order_number.isNull(), "MappingError", "Missing order_id"),
-            (ordered.isNull(), "ValidationError", "order_date is missing or unreadable"),
-            (unreadable(*[paid(c) for c in amounts]), "ValidationError", "an amount is not a number"),
-            (F.exists("_tiktok_items", lambda i: ~i["readable"]), "ValidationError", "an item has an unreadable number"),
-        ),
         order_id=F.concat(F.lit("tiktok_"), order_number),
         platform=F.lit("tiktok_shop"),
         platform_order_id=order_number,
@@ -297,7 +324,7 @@ def _tiktok() -> Column:
         customer_name=first_text(address("full_name"), address("name")),
         customer_phone=first_text(address("phone_number"), address("phone")),
         status_raw=F.coalesce(state, F.lit("")),
-        order_date=ordered,
+        order_date=F.col("_ordered"),
         paid_date=parse_instant(p("paid_time")),
         shipped_date=parse_instant(p("shipping_due_time")),
         completed_date=parse_instant(p("complete_time")),
@@ -331,12 +358,18 @@ def normalize_orders(
     `fix_discount` adds the seller voucher to the seller discount. `compatible_currency` converts only
     USD and leaves the currency code, instead of using the whole rate table.
     """
-    return orders_split(mapped_orders(raw, fix_discount, compatible_currency), run_at)
+    checked = checked_orders(raw)
+    good = _orders(checked.where(F.col("_problem").isNull()), fix_discount, compatible_currency)
+    return Split(orders_split(good, run_at).good, split(checked, "_problem", "record", "_shop", _moment(run_at)).dead)
+
+
+def _moment(run_at: dt.datetime | Column | None) -> Column:
+    return F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
 
 
 def orders_split(mapped: DataFrame, run_at: dt.datetime | Column | None = None) -> Split:
     """Good orders and dead letters of `mapped_orders`."""
-    at = F.current_timestamp() if run_at is None else (run_at if isinstance(run_at, Column) else F.lit(run_at))
+    at = _moment(run_at)
     parts = split(mapped, "_problem", "record", "_shop", at)
     return Split(parts.good.drop("_shop").withColumn("transformed_at", at), parts.dead)
 
@@ -345,8 +378,14 @@ def mapped_orders(
     raw: DataFrame, fix_discount: bool = False, compatible_currency: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Every record with its order's fields, `_shop`, `_problem` (NULL if there is none) and the columns to `carry`."""
+    return _orders(checked_orders(raw, carry), fix_discount, compatible_currency, carry)
+
+
+def checked_orders(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every record parsed, with `_shop`, `_ordered`, `_states` and `_problem` (NULL if there is none)."""
     shop = F.col("_shop")
     kept = ["record", "malformed", "extracted_at", "_shop", *carry]
+    schemas = {"_shopee": SHOPEE, "_lazada": LAZADA, "_tiktok": TIKTOK}
     parsed = computed_once(
         computed_once(raw, {"_shop": order_platform("platform", F.col("payload"))}),
         {
@@ -356,29 +395,42 @@ def mapped_orders(
         },
         keep=kept,
     )
+    on = (
+        "case _shop when 'shopee' then _shopee.create_time when 'lazada' then _lazada.created_at"
+        " when 'tiktok_shop' then _tiktok.create_time end"
+    )
     parsed = computed_once(
         parsed,
         {
-            "_shopee": tokens("_shopee", SHOPEE),
-            "_lazada": tokens("_lazada", LAZADA),
-            "_tiktok": tokens("_tiktok", TIKTOK),
+            **{c: tokens(c, schema) for c, schema in schemas.items()},
+            "_ordered": parse_instant(on),
+            "_states": F.from_json("_lazada.statuses", "array<string>"),
         },
         keep=kept,
     )
+    kept += [*schemas, "_ordered", "_states"]
+    wrong = {
+        "_wrong_amount": _by_shop(*[unreadable(*[f"{at}.{c}" for c in names]) for at, names in AMOUNTS.items()]),
+        "_wrong_item": _by_shop(*[_unreadable_item(shape) for shape in LISTS]),
+    }
+    return computed_once(computed_once(parsed, wrong, kept), {"_problem": _problem()}, kept)
+
+
+def _orders(
+    checked: DataFrame, fix_discount: bool, compatible_currency: bool, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    shop = F.col("_shop")
     parsed = computed_once(
-        parsed,
+        checked,
         {
-            "_states": F.from_json("_lazada.statuses", "array<string>"),
             "_address": F.from_json("_lazada.address_shipping", LAZADA_ADDRESS),
             "_shopee_items": _shopee_items(),
             "_lazada_items": _lazada_items(),
             "_tiktok_items": _tiktok_items(),
         },
     )
-    order = F.when(shop == "shopee", _shopee(fix_discount)).when(shop == "lazada", _lazada()).when(
-        shop == "tiktok_shop", _tiktok()
-    )
-    mapped = computed_once(parsed, {"_o": order}, keep=kept)
+    order = _by_shop(_shopee(fix_discount), _lazada(), _tiktok())
+    mapped = computed_once(parsed, {"_o": order}, keep=["record", "extracted_at", "_shop", "_problem", *carry])
     raw_currency = F.coalesce(F.nullif("_o.currency_raw", F.lit("")), F.lit(fixed.HOME_CURRENCY))
     money = to_home_usd_only if compatible_currency else to_home
     status = F.lit("unknown")
@@ -390,18 +442,13 @@ def mapped_orders(
         "currency_raw": raw_currency,
         "extracted_at": parse_instant("coalesce(_o.extracted_at, extracted_at)"),
         **{c: money(f"_o.{c}", raw_currency) for c in ("subtotal", "shipping_fee", "discount", "total")},
-        "items": F.transform("_o.items", lambda i: i.dropFields("readable")),
     }
-    whole = problem(
-        (F.col("malformed"), "JSONDecodeError", "record is not a JSON object"),
-        (~F.col("malformed") & ~shop.isin(*fixed.SHOP_PLATFORMS), "UnknownPlatform", "platform is unknown"),
-    )
     return mapped.select(
         "record",
         *carry,
         shop.alias("_shop"),
         *[derived.get(c, F.col(f"_o.{c}")).alias(c) for c in ORDER_FIELDS],
-        F.coalesce(whole, F.col("_o.problem")).alias("_problem"),
+        "_problem",
     )
 
 
