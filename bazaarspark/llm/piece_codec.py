@@ -3,8 +3,10 @@
 `Merger` holds an agenda of adjacent symbol pairs ordered by piece score (ties: leftmost). A pair is merged when its
 concatenation is a piece; its neighbours then enter the agenda. No piece of such a vocabulary holds a space mark after
 another character, so no merge crosses the point before a run of space marks: the text is cut there, and equal
-segments are merged once per worker. New segments of an Arrow batch are encoded by the sentencepiece library as well;
-any difference stops the job. Decoding maps ids to pieces, drops the mark that encoding put in front, and joins bytes.
+segments are merged once per worker. The different segments of an Arrow batch are looked up once, and new ones of equal
+length are merged together: a row of symbols and an agenda for each, one merge in every row at a time. New segments are
+encoded by the sentencepiece library as well; any difference stops the job. Decoding maps ids to pieces, drops the mark
+that encoding put in front, and joins bytes.
 
 Defined results: a null or empty text has the end id alone and decodes to the empty text; texts of any length are
 encoded whole; every input row gives one row, so repeated rows stay; an empty table gives an empty table.
@@ -16,6 +18,8 @@ import hashlib
 import heapq
 import itertools
 import re
+import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ from bazaarspark.llm.common import Remembered, arrow, kept, no_garbage, some_byt
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 REMEMBERED = 400_000  # distinct segments a worker keeps
-SHORT = 48  # characters up to which scanning a list beats a heap
+SHORT = 48  # characters up to which scanning a row of scores beats a heap
 NONE = float("inf")
 
 
@@ -49,30 +53,84 @@ class Merger:
             self.surface[i] = names[i].replace(MARK, " ").encode()
         for b, i in self.bytes.items():
             self.surface[i] = bytes([b])
+        self.names, self.decimals = names, [str(i) for i in range(size)]
+        self.row_tables(size)
         self.known = Remembered(remembered)
 
-    def merged(self, segment: str) -> tuple[int, ...]:
-        """Ids of one segment by the agenda: a plain list of scores when it is short, a heap when it is long."""
-        symbols = list(segment) if len(segment) <= SHORT else self.heap_merged(segment)
-        if len(segment) <= SHORT:
-            scores = self.scores.get
-            agenda = [scores(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
-            while agenda:
-                best = min(agenda)
-                if best == NONE:
-                    break
-                i = agenda.index(best)  # the leftmost of equal scores
-                a = symbols[i] + symbols[i + 1]
-                symbols[i : i + 2] = (a,)
-                del agenda[i]
-                if i < len(agenda):
-                    agenda[i] = scores(a + symbols[i + 1], NONE)
-                if i:
-                    agenda[i - 1] = scores(symbols[i - 1] + a, NONE)
+    def row_tables(self, size: int) -> None:
+        """Symbols as numbers: a piece is its id, another character comes after the ids; the last number is the end of a row."""
+        self.of_character = np.arange(size, size + sys.maxunicode + 2)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.of_character[ord(p)] = i
+        number = lambda s: self.ids[s] if s in self.ids else size + ord(s) if len(s) == 1 else None
+        pairs = {}
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                a, b = number(p[:k]), number(p[k:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = i
+        keys = np.array([*pairs, np.iinfo(np.int64).max])
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ids = keys[order], np.array([*pairs.values(), -1])[order]
+        self.row_scores = np.full(size + 1, NONE)  # the last one stands for -1, no piece
+        for p, i in self.ids.items():
+            self.row_scores[i] = self.scores[p]
+
+    def merged(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment (32-bit numbers) by the agenda: rows of scores for short ones, a heap for a long one."""
+        found = [b""] * len(segments)
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        for length in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == length)
+            if length <= SHORT:
+                for rows, ids in self.rows_merged([segments[i] for i in at.tolist()]):
+                    for i, x in zip(at[rows].tolist(), ids):
+                        found[i] = x
+            else:
+                for i in at.tolist():
+                    found[i] = self.packed(self.heap_merged(segments[i]))
+        return found
+
+    def packed(self, symbols: list[str]) -> bytes:
         try:
-            return tuple([self.ids[s] for s in symbols])
+            ids = [self.ids[s] for s in symbols]
         except KeyError:
-            return tuple(self.fallback(symbols))
+            ids = self.fallback(symbols)
+        return np.array(ids, np.int32).tobytes()
+
+    def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that each pair of symbols makes, or -1."""
+        keys = a << 32 | b
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ids[at], -1)
+
+    def rows_merged(self, segments: list[str]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """(numbers, ids) of segments of one length: in each round the best pair of every row is merged."""
+        size = len(self.names)
+        points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32).reshape(len(segments), -1)
+        symbols = np.pad(self.of_character[points], ((0, 0), (0, 1)), constant_values=self.of_character[-1])
+        pairs = self.joined(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(segments))
+        while True:
+            scores = self.row_scores[pairs]
+            at = scores.argmin(axis=1)  # the leftmost of equal scores
+            more = scores[np.arange(len(rows)), at] < NONE
+            done = symbols[~more, :-1]
+            raw, width = done.astype(np.int32).tobytes(), 4 * done.shape[1]
+            ids = [raw[k : k + width] for k in range(0, len(raw), width)]
+            for k in np.flatnonzero((done >= size).any(axis=1)).tolist():
+                ids[k] = self.packed([self.names[x] if x < size else chr(x - size) for x in done[k].tolist()])
+            yield rows[~more], ids
+            if not more.any():
+                return
+            rows, at, symbols, pairs = rows[more], at[more], symbols[more], pairs[more]
+            each = np.arange(len(rows))
+            symbols[each, at] = pairs[each, at]
+            symbols, pairs = without(symbols, at + 1), without(pairs, at + 1)
+            pairs[each, at] = self.joined(symbols[each, at], symbols[each, at + 1])
+            each, at = each[at > 0], at[at > 0]
+            pairs[each, at - 1] = self.joined(symbols[each, at - 1], symbols[each, at])
 
     def heap_merged(self, segment: str) -> list[str]:
         symbols = list(segment)
@@ -113,29 +171,57 @@ class Merger:
         return out
 
     def segments(self, text: str) -> list[str]:
-        """The text with its leading mark, cut before runs of marks."""
+        """The text with its leading mark, cut before runs of marks; the first mark of each segment is left out."""
         if not text:
             return []
-        marked = MARK + text.replace(" ", MARK)
-        if MARK + MARK in marked or marked[-1] == MARK:
-            return SEGMENT.findall(marked)
-        return [MARK + s for s in marked[1:].split(MARK)]
+        spaced = text.replace(MARK, " ")
+        if "  " in spaced or spaced[0] == " " or spaced[-1] == " ":
+            return [s[1:] for s in SEGMENT.findall(MARK + spaced.replace(" ", MARK))]
+        return spaced.split(" ")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts; what is new in this batch is held against the library."""
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts in a row, and where each text starts and ends; what is new is held against the library."""
         known = self.known
         known.make_room()
         with no_garbage():
             cut = [self.segments(t) for t in texts]
-            new = known.missing(cut)
-            merged = [self.merged(s) for s in new]
-        theirs = self.library.encode([s[1:] for s in new], num_threads=1) if new else []
-        for s, mine, lib in zip(new, merged, theirs):
-            # The library puts a mark before a text, unless that text is empty.
-            if s != MARK and mine != tuple(lib):
-                raise RuntimeError(f"segment {s!r}: {mine}, the library has {lib}")
-        known.update(zip(new, merged))
-        return [list(itertools.chain.from_iterable(map(known.__getitem__, parts))) for parts in cut]
+            ends = np.cumsum([0, *map(len, cut)])
+            flat = list(itertools.chain.from_iterable(cut))
+            used = pa.array(flat, pa.large_string()).dictionary_encode().indices.to_numpy()
+            place = np.zeros(used.max(initial=-1) + 1, np.int64)
+            place[used] = np.arange(len(used))
+            different = [flat[i] for i in place.tolist()]
+            new = known.missing([different])
+            merged = self.merged([MARK + s for s in new])
+            self.compare(new, merged)
+            known.update(zip(new, merged))
+        ids = [known[s] for s in different]
+        # Of each different segment its ids, then those of all segments in their order.
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        numbers = np.frombuffer(b"".join(ids), np.int32)
+        before = np.concatenate([[0], np.cumsum(counts[used])])
+        shift = (np.cumsum(counts) - counts)[used] - before[:-1]
+        return numbers[np.arange(before[-1]) + np.repeat(shift, counts[used])], before[ends]
+
+    def compare(self, segments: list[str], merged: list[bytes]) -> None:
+        # The library puts a mark before a text, unless that text is empty.
+        texts = [s for s in segments if s]
+        ours = [mine for s, mine in zip(segments, merged) if s]
+        theirs = self.library.encode(texts, num_threads=1) if texts else []
+        counts = np.fromiter(map(len, theirs), np.int64, len(theirs))
+        sizes = np.fromiter(map(len, ours), np.int64, len(ours))
+        flat = np.fromiter(itertools.chain.from_iterable(theirs), np.int32, int(counts.sum()))
+        if (sizes == 4 * counts).all() and flat.tobytes() == b"".join(ours):
+            return
+        for text, mine, lib in zip(texts, ours, theirs):
+            ids = np.frombuffer(mine, np.int32).tolist()
+            if ids != lib:
+                raise RuntimeError(f"segment {MARK + text!r}: {ids}, the library has {lib}")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each whole text."""
+        flat, ends = self.encoded(texts)
+        return [flat[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())]
 
     def decode(self, ids: list[int]) -> str:
         surface = self.surface
@@ -145,6 +231,13 @@ class Merger:
         return raw.decode("utf-8", "replace")
 
 
+def without(matrix: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The matrix without one column of its own in each row."""
+    stay = np.ones(matrix.shape, bool)
+    stay[np.arange(len(matrix)), columns] = False
+    return matrix[stay].reshape(len(matrix), -1)
+
+
 def merger(path: str, remembered: int = REMEMBERED) -> Merger:
     return kept(Merger, path, remembered)
 
@@ -184,7 +277,7 @@ def piece_digests(docs: DataFrame, path: str) -> DataFrame:
             for ids in coder.encode(texts_of(batch)):
                 ids.append(coder.end)
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                ids_sha.append(hashlib.sha256(" ".join([coder.decimals[i] for i in ids]).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -43,6 +44,54 @@ def test_list_and_heap_agenda_agree(short, monkeypatch):
         assert coder.encode([text])[0] == library.encode(text)
 
 
+def test_new_segments_are_merged_together():
+    coder = piece_codec.Merger(PIECES)
+    text = " ".join("".join(chr(97 + (i // 26**k + 7 * k) % 26) for k in range(4)) + "ation"[: i % 6] for i in range(20_000))
+    assert len(set(text.split())) == 20_000
+    coder.encode(["what is imported late is imported now"])
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids = coder.encode([text])[0]
+    finally:
+        sys.setprofile(None)
+    assert ids == library.encode(text)
+    assert calls < 10_000  # less than one for two segments
+
+
+def test_rows_and_heap_agree_on_segments_of_all_lengths(monkeypatch):
+    letters = ["e", "th", "▁", "▁▁", "é", "漢", "🙂", "\x00", "\U0010ffff", "ing", "0", "\n"]
+    segments = ["▁" + "".join(letters[(7 * i + k * k * (i % 5)) % 12] for k in range(i % 30)) for i in range(3000)]
+    coder = piece_codec.Merger(PIECES)
+    rows = coder.merged(segments)
+    monkeypatch.setattr(piece_codec, "SHORT", 0)
+    assert rows == coder.merged(segments)
+    texts = ["", *segments, "", " ".join(segments), "  "]
+    assert coder.encode(texts) == [library.encode(t) for t in texts]
+    assert coder.encode([]) == []
+
+
+@pytest.mark.parametrize("change", ["another id", "another boundary"])
+def test_difference_from_library_stops(change, monkeypatch):
+    coder = piece_codec.Merger(PIECES)
+    plain = coder.merged
+
+    def wrong(segments):
+        found = plain(segments)
+        if change == "another id":
+            return [found[0][:-4] + np.int32(5).tobytes(), *found[1:]]
+        return [found[0] + found[1][:4], found[1][4:], *found[2:]]
+
+    monkeypatch.setattr(coder, "merged", wrong)
+    with pytest.raises(RuntimeError, match="the library has"):
+        coder.encode(["seven wizards mixing potions"])
+
+
 def test_digests_of_hard_documents(spark):
     docs = with_clashes(hard_docs(spark))
     want = []
