@@ -191,17 +191,22 @@ class Merger:
             place = np.zeros(used.max(initial=-1) + 1, np.int64)
             place[used] = np.arange(len(used))
             different = [flat[i] for i in place.tolist()]
+            del cut, flat
             new = known.missing([different])
             merged = self.merged([MARK + s for s in new])
             self.compare(new, merged)
             known.update(zip(new, merged))
+            del new, merged
         ids = [known[s] for s in different]
         # Of each different segment its ids, then those of all segments in their order.
         counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         numbers = np.frombuffer(b"".join(ids), np.int32)
+        del different, ids
         before = np.concatenate([[0], np.cumsum(counts[used])])
         shift = (np.cumsum(counts) - counts)[used] - before[:-1]
-        return numbers[np.arange(before[-1]) + np.repeat(shift, counts[used])], before[ends]
+        places = np.repeat(shift, counts[used])
+        places += np.arange(len(places))
+        return numbers[places], before[ends]
 
     def compare(self, segments: list[str], merged: list[bytes]) -> None:
         # The library puts a mark before a text, unless that text is empty.
@@ -218,10 +223,13 @@ class Merger:
             if ids != lib:
                 raise RuntimeError(f"segment {MARK + text!r}: {ids}, the library has {lib}")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each whole text."""
+    def each(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each whole text; a list lives until the next one."""
         flat, ends = self.encoded(texts)
-        return [flat[a:b].tolist() for a, b in itertools.pairwise(ends.tolist())]
+        return (flat[a:b].tolist() for a, b in itertools.pairwise(ends.tolist()))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return list(self.each(texts))
 
     def decode(self, ids: list[int]) -> str:
         surface = self.surface
@@ -255,13 +263,12 @@ def with_pieces(
         coder = merger(path, remembered)
         end = [coder.end] if end_id else []
         for batch in some_bytes(batches):
-            ids = [x + end for x in coder.encode(texts_of(batch))]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]))
+            flat, ends = coder.encoded(texts_of(batch))
+            flat = np.insert(flat, np.repeat(ends[1:], len(end)), end * (len(ends) - 1))
+            ends = (ends + len(end) * np.arange(len(ends))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.record_batch(
-                [batch.column(key), lists, pa.array([coder.decode(x) for x in ids])], [key, "ids", "decoded"]
-            )
+            texts = pa.array([coder.decode(flat[a:b].tolist()) for a, b in itertools.pairwise(ends.tolist())], pa.string())
+            yield pa.record_batch([batch.column(key), lists, texts], [key, "ids", "decoded"])
 
     return arrow(docs.select(key, "text"), work, f"{key} {kind}, ids array<int>, decoded string")
 
@@ -274,7 +281,7 @@ def piece_digests(docs: DataFrame, path: str) -> DataFrame:
         coder = merger(path)
         for batch in some_bytes(batches):
             counts, ids_sha, text_sha = [], [], []
-            for ids in coder.encode(texts_of(batch)):
+            for ids in coder.each(texts_of(batch)):
                 ids.append(coder.end)
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(" ".join([coder.decimals[i] for i in ids]).encode()).hexdigest())
@@ -296,9 +303,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def work(batches):
         coder = merger(path)
         for batch in some_bytes(batches):
-            ids = coder.encode(texts_of(batch))
             columns = list(batch.columns)
-            columns[at] = pa.array([coder.decode(x) for x in ids], batch.schema.field(at).type)
+            columns[at] = pa.array([coder.decode(x) for x in coder.each(texts_of(batch))], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return arrow(docs, work, docs.schema)
