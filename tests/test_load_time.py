@@ -1,4 +1,4 @@
-"""A load lists folders in few tasks and looks up nothing in a table without rows."""
+"""A load lists folders in few tasks, looks up nothing in a table without rows, and keeps no shuffle files."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarspark.session import configure
+from bazaarspark.session import RELEASE, configure, shuffles_released
 from bazaarspark.sources import key_index, store
 
 
@@ -53,3 +53,21 @@ def test_keys_of_a_first_load_are_indexed(spark, table):
     store.upsert(spark, table[0], moved, ["k"], "day", table[1])
     found = sorted((r.k, str(r.day), r.v) for r in spark.table(table[0]).collect())
     assert found == [("1", "2002-01-01", "b"), ("2", "2001-01-03", "a")]
+
+
+def test_shuffles_are_released_by_loads_only(spark, table, monkeypatch):
+    before, seen, write = spark.conf.get(RELEASE), [], store.write_days
+
+    def watched(*a):
+        seen.append(spark.conf.get(RELEASE))
+        write(*a)
+
+    monkeypatch.setattr(store, "write_days", watched)
+    store.upsert(spark, table[0], days(spark, [1], "a"), ["k"], "day", table[1])
+    assert seen == ["true"] and spark.conf.get(RELEASE) == before
+    with pytest.raises(ZeroDivisionError), shuffles_released(spark):
+        1 / 0
+    assert spark.conf.get(RELEASE) == before
+    with shuffles_released(spark):
+        twice = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        assert sorted(twice.collect()) == sorted(twice.collect())
